@@ -78,7 +78,7 @@ def run_on(observations: DataFrame, config: BatchConfig) -> BatchResult:
     features = stage(build_features(observations, config.features, split=config.series), "features")
     inputs = feature_names(features)
     train, test = split_rows(complete_rows(features), config.split, config.model)
-    if train.limit(config.model.min_training_rows).count() < config.model.min_training_rows:
+    if len(train.select("city").take(config.model.min_training_rows)) < config.model.min_training_rows:
         return BatchResult(gate, stopped=f"fewer than {config.model.min_training_rows} training rows")
 
     trained = train_models(train, inputs, config.model)

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CATEGORY, MEASURES, TARGETS, ModelConfig, StateConfig
+from ..config import CATEGORY, MEASURES, TARGETS, ModelConfig, SplitConfig, StateConfig
 from ..functions.scores import (
     emergency_level,
     keyword_score,
@@ -19,8 +19,8 @@ from ..functions.scores import (
 from ..operators import align, clean, combine, enrich, features, metrics, quality, serving
 from ..operators.normalize import normalize_observations
 from ..operators.outliers import impute, without_outliers
-from ..operators.series import over_series
-from ..session import shared_dir
+from ..operators.series import fits_one_task, over_series
+from ..session import shared_dir, stage
 from ..sources.events import events_as_observations, read_events
 from ..sources.readers import (
     decode_messages,
@@ -62,14 +62,19 @@ LEFT_OUT = {
 OBSERVED = ("datetime", "city", *TARGETS)
 
 
-def raw(spark: SparkSession, sf_dir: str, stations: int | None = None) -> DataFrame:
-    return events_as_observations(read_events(spark, sf_dir), stations)
+def raw(spark: SparkSession, sf_dir: str, stations: int | None = None, keep=("event_id",)) -> DataFrame:
+    return events_as_observations(read_events(spark, sf_dir), stations, keep)
 
 
 def observations(spark: SparkSession, sf_dir: str, stations: int | None = None) -> DataFrame:
-    """Clean, normalised readings; the earliest event of each key survives."""
+    """Clean, normalised readings; the earliest event of each key survives.
+
+    Beyond a small table they are stored once, because the plans behind read
+    them more than once and then need only some of the columns.
+    """
     cleaned = clean.clean_observations(raw(spark, sf_dir, stations), order_by=["event_id"])
-    return normalize_observations(cleaned).select(*OBSERVED)
+    readings = normalize_observations(cleaned).select(*OBSERVED)
+    return readings if fits_one_task(readings, SplitConfig()) else stage(readings, "observations")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -130,8 +135,7 @@ def earliest_readings(spark, sf_dir):
 
 def damaged_messages(spark, sf_dir):
     """Messages of which some are cut short, mistyped or misspelled, by event type."""
-    kind = read_events(spark, sf_dir).select("event_id", "event_type")
-    source = raw(spark, sf_dir).join(kind, "event_id")
+    source = raw(spark, sf_dir, keep=("event_type",))
     body = F.col("value")
     text = (
         F.when(F.col("event_type") == "error", F.substring(body, 1, 12))
@@ -139,13 +143,7 @@ def damaged_messages(spark, sf_dir):
         .when(F.col("event_type") == "view", F.replace(body, F.lit('"City"'), F.lit('"city"')))
         .otherwise(body)
     )
-    return as_messages_keeping(source, "event_id", "event_type").withColumn("value", text).drop("event_type")
-
-
-def as_messages_keeping(df, *extra):
-    """Messages next to columns of their source row."""
-    fields = ["datetime", "City", "temperature", "humidity", "pressure", "weather_desc", "wind_direction", "wind_speed"]
-    return df.select(*extra, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+    return as_messages(source, keep=("event_type",)).select(text.alias("value"))
 
 
 def json_decode(spark, sf_dir):
@@ -252,9 +250,9 @@ def training_rows(spark, sf_dir):
 
 def wide_tables(spark, sf_dir):
     """One wide table per measure, a column per station, temperature in Kelvin."""
-    events = read_events(spark, sf_dir).select("event_id", "event_type")
-    source = raw(spark, sf_dir, STATIONS).join(events, "event_id").withColumn("City", F.trim("City"))
-    source = source.withColumn("temperature", F.col("temperature") + align.KELVIN_OFFSET)
+    source = raw(spark, sf_dir, STATIONS, keep=("event_id", "event_type")).withColumns(
+        {"City": F.trim("City"), "temperature": F.col("temperature") + align.KELVIN_OFFSET}
+    )
     tables = {}
     for measure, left_out in LEFT_OUT.items():
         kept = source.filter((F.col("event_type") != left_out) & F.col(measure).isNotNull())
@@ -376,7 +374,7 @@ def category_series(spark, sf_dir):
 def last_value_forecast(df, days=7):
     """Forecast repeating the last reading, for checking the horizon without a model."""
     repeat = {f"prediction_{t}": F.col(t) for t in TARGETS}
-    return forecast(df, MEASURES, lambda last: last.withColumns(repeat), days)
+    return forecast(df, MEASURES, lambda last: last.withColumns(repeat), days, carry=[CATEGORY])
 
 
 def forecast_horizon(spark, sf_dir):

@@ -6,6 +6,8 @@ fixed arithmetic mapping that makes each range rule reject some rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +24,10 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def events_as_observations(events: DataFrame, stations: int | None = None) -> DataFrame:
-    """Raw observations plus ``event_id``.
+def events_as_observations(
+    events: DataFrame, stations: int | None = None, keep: Sequence[str] = ("event_id",)
+) -> DataFrame:
+    """Raw observations plus the event columns in ``keep``.
 
     ``stations`` folds the users into that many stations, which makes many
     copies of each (hour, station); without it every user is a station.
@@ -35,7 +39,7 @@ def events_as_observations(events: DataFrame, stations: int | None = None) -> Da
         text = F.when(kind == name, description).otherwise(text)
     event = F.col("event_id")
     return events.select(
-        "event_id",
+        *keep,
         F.date_format(F.date_trunc("hour", F.col("ts").cast("timestamp")), "yyyy-MM-dd HH:mm:ss").alias("datetime"),
         F.concat(F.lit("  city "), number.cast("string"), F.lit(" ")).alias("City"),
         ((event * 37 % 1290).cast("double") / 10 - 58).alias("temperature"),

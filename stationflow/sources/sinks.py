@@ -30,10 +30,18 @@ def with_day(df: DataFrame) -> DataFrame:
     return df.withColumn(DAY, F.to_date("datetime"))
 
 
+def rebalanced(df: DataFrame) -> DataFrame:
+    """Rows of a day together, large days split and small ones merged at run time.
+
+    Keeps a partitioned write from leaving one file per task and day.
+    """
+    return df.hint("rebalance", DAY)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", by_day: bool = False) -> None:
     """Batch Parquet write, optionally one folder per day so date filters prune."""
     if by_day:
-        with_day(df).write.mode(mode).partitionBy(DAY).parquet(path)
+        rebalanced(with_day(df)).write.mode(mode).partitionBy(DAY).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
 
@@ -59,7 +67,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def as_messages(df: DataFrame, restamp: str | None = None, offset: str = "INTERVAL 0 SECONDS") -> DataFrame:
+def as_messages(
+    df: DataFrame,
+    restamp: str | None = None,
+    offset: str = "INTERVAL 0 SECONDS",
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Rows -> keyed JSON messages, nulls spelled out, unparseable numbers null.
 
     ``restamp``: ``None`` keeps the time, ``"now"`` takes the send time,
@@ -88,7 +101,8 @@ def as_messages(df: DataFrame, restamp: str | None = None, offset: str = "INTERV
         number("wind_direction"),
         number("wind_speed"),
     )
-    return df.select(F.col("City").alias("key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
+    value = F.to_json(body, {"ignoreNullFields": "false"})
+    return df.select(*keep, F.col("City").alias("key"), value.alias("value"))
 
 
 def publish(messages: DataFrame, servers: str, topic: str, **options: str) -> None:
@@ -171,7 +185,8 @@ def upsert_predictions(
     days = fresh.select(DAY).distinct()
     touched = old.join(days, DAY, "left_semi")
     merged = stage(upsert(touched, fresh, keys), "predictions")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+    writer = rebalanced(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(DAY).parquet(path)
 
 
 def save_models(models: Mapping[str, PipelineModel], base: str) -> dict[str, str]:

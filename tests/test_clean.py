@@ -1,0 +1,107 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from stationflow.config import RangeRule
+from stationflow.operators.clean import (
+    clean_observations,
+    complete_rows,
+    dedupe,
+    for_city,
+    rejected_observations,
+    valid_observations,
+)
+from stationflow.operators.normalize import normalize_observations
+
+RAW = (
+    "datetime string, City string, temperature double, humidity double, pressure double, "
+    "weather_desc string, wind_direction double, wind_speed double"
+)
+GOOD = ("2024-01-01 12:00:00", " hanoi ", 25.567, 60.0, 1012.0, " light RAIN ", 10.0, 5.0)
+
+
+def raw(spark, *changes):
+    names = [c.split()[0] for c in RAW.split(", ")]
+    made = [tuple(change.get(n, v) for n, v in zip(names, GOOD, strict=True)) for change in changes]
+    return spark.createDataFrame(made, RAW)
+
+
+def test_two_row_flow(spark):
+    df = raw(spark, {}, {"City": "BadCity", "temperature": 1000.0})
+    out = rows(normalize_observations(clean_observations(df)))
+    assert out == [(datetime(2024, 1, 1, 12), "Hanoi", 25.57, 60.0, 1012.0, "light rain", 10.0, 5.0)]
+
+
+def test_clean_text_conventions(spark):
+    row = clean_observations(raw(spark, {})).first()
+    assert (row["city"], row["weather_desc"]) == ("hanoi", "Light Rain")
+
+
+def test_only_blanks_start_a_word(spark):
+    out = normalize_observations(raw(spark, {"City": " york-city NORTH"}).withColumnRenamed("City", "city"))
+    assert out.first()["city"] == "York-city North"
+
+
+@pytest.mark.parametrize(
+    "column,kept,dropped",
+    [
+        ("temperature", (-50.0, 60.0), (-50.01, 60.01, float("nan"), None)),
+        ("humidity", (0.0, 100.0), (-0.01, 100.01, float("nan"), None)),
+        ("pressure", (800.0, 1200.0), (799.99, 1200.01, float("nan"), None)),
+        ("wind_speed", (0.0, 1e6, float("nan")), (-0.01, None)),
+        ("wind_direction", (0.0, 360.0), (-0.01, 360.01, float("nan"), None)),
+    ],
+)
+def test_bounds(spark, column, kept, dropped):
+    df = raw(spark, *[{column: v, "City": str(i)} for i, v in enumerate(kept + dropped)])
+    assert sorted(int(r["city"]) for r in clean_observations(df).collect()) == list(range(len(kept)))
+    failed = {r["city"]: r["rule"] for r in rejected_observations(df).collect()}
+    assert sorted(map(int, failed)) == list(range(len(kept), len(kept) + len(dropped)))
+    allowed = {f"{column}_range"} | ({"temperature_missing"} if column == "temperature" else set())
+    assert set(failed.values()) <= allowed
+
+
+def test_malformed_text_becomes_null(spark):
+    df = raw(spark, {"City": "a"}, {"City": "b", "datetime": "not a time"}, {"City": "c"}).withColumn(
+        "temperature", F.when(F.col("City") == "c", "warm").otherwise("21.5")
+    )
+    assert [(r["city"], r["temperature"]) for r in clean_observations(df).collect()] == [("a", 21.5)]
+    assert {r["city"]: r["rule"] for r in rejected_observations(df).collect()} == {
+        "b": "datetime_missing",
+        "c": "temperature_missing",
+    }
+
+
+def test_blank_city_survives(spark):
+    assert clean_observations(raw(spark, {"City": "   "})).first()["city"] == ""
+
+
+def test_dedupe_takes_first_by_order(spark):
+    df = raw(spark, *[{"temperature": float(t)} for t in (3, 1, 2)])
+    assert clean_observations(df, order_by=["temperature"]).first()["temperature"] == 1.0
+    assert clean_observations(df).count() == 1
+
+
+def test_dedupe_limits_rows_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 2 AS k", "id AS v")
+    plan = dedupe(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    partial, exchange = plan.index("Partial"), plan.index("Exchange")
+    assert "WindowGroupLimit" in plan and exchange < partial  # the tree is printed top down
+
+
+def test_custom_rules_and_filters(spark):
+    df = raw(spark, {"City": "a"}, {"City": "b", "temperature": 30.0})
+    kept = clean_observations(df, rules=[RangeRule("temperature", 28.0, None)])
+    assert [r["city"] for r in kept.collect()] == ["b"]
+    assert for_city(kept, None).count() == 1
+    assert for_city(kept, "a").count() == 0
+    assert complete_rows(df.withColumn("x", F.lit(None).cast("double"))).count() == 0
+
+
+def test_filters_reach_the_scan(spark, tmp_path):
+    raw(spark, {}).write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 4000)
+    plan = valid_observations(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(temperature,-50.0)" in plan and "LessThanOrEqual(humidity,100.0)" in plan
