@@ -65,7 +65,10 @@ class QualityConfig:
 
 @dataclass(frozen=True)
 class ModelConfig:
-    """Learners per target and their parameters."""
+    """Learners per target and their parameters.
+
+    ``parallelism`` is the number of targets fitted at the same time.
+    """
 
     seed: int = 42
     train_fraction: float = 0.8
@@ -75,6 +78,7 @@ class ModelConfig:
     forest_trees: int = 50
     forest_depth: int = 8
     min_training_rows: int = 50
+    parallelism: int = 6
     learners: dict[str, str] = field(
         default_factory=lambda: {
             "temperature": "gbt",

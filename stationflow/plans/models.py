@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
@@ -105,20 +106,26 @@ def train_models(
     if persist:
         vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     trained = Trained(vectorizer)
+
+    def train_one(target: str) -> PipelineModel | str:
+        if with_label(vectors, target).isEmpty():
+            return "no labelled rows"
+        fit = fit_classifier if config.learners.get(target) == "forest_classifier" else fit_regressor
+        try:
+            return fit(vectors, target, config)
+        except Exception as error:
+            log.exception("training %s failed", target)
+            return str(error)
+
     try:
-        for target in present:
-            if with_label(vectors, target).isEmpty():
-                trained.failures[target] = "no labelled rows"
-                continue
-            fit = fit_classifier if config.learners.get(target) == "forest_classifier" else fit_regressor
-            try:
-                trained.models[target] = fit(vectors, target, config)
-            except Exception as error:
-                log.exception("training %s failed", target)
-                trained.failures[target] = str(error)
+        with ThreadPoolExecutor(config.parallelism) as pool:
+            task = inheritable_thread_target(train.sparkSession)(train_one)
+            results = list(pool.map(task, present))
     finally:
         if persist:
             vectors.unpersist()
+    for target, result in zip(present, results, strict=True):
+        (trained.failures if isinstance(result, str) else trained.models)[target] = result
     return trained
 
 

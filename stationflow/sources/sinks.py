@@ -173,8 +173,9 @@ def upsert_predictions(
 ) -> None:
     """Replace or add predictions by key, rewriting only the days that change.
 
-    The merged days are staged first, so neither a lost executor nor a failed
-    job leaves a day half written.
+    The new rows are staged once, because the merge reads them three times. The
+    changed days are swapped in when the whole write has succeeded, so neither a
+    lost executor nor a failed job leaves a day half written.
     """
     from .readers import read_lake
 
@@ -184,7 +185,7 @@ def upsert_predictions(
     old = read_lake(spark, path, schema=shape)
     days = fresh.select(DAY).distinct()
     touched = old.join(days, DAY, "left_semi")
-    merged = stage(upsert(touched, fresh, keys), "predictions")
+    merged = upsert(touched, fresh, keys)
     writer = rebalanced(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(DAY).parquet(path)
 
