@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..config import SplitConfig
-from ..session import plan_bytes
+from ..session import plan_bytes, stage
 
 SeriesColumns = Callable[[WindowSpec], Mapping[str, Column]]
 
@@ -82,13 +82,15 @@ def over_series(
     the new columns; their frames and lags must stay within ``lookback``
     preceding rows and must not look ahead. Small inputs use one plain window:
     one shuffle, one sort. Larger ones shuffle on (station, segment), where
-    stations shorter than a segment have just one.
+    stations shorter than a segment have just one. The table of segments is
+    stored first, so its real size decides whether Catalyst broadcasts it or
+    sorts and merges; give such inputs as stored tables, they are read twice.
     """
     order = [F.col(time), *[F.col(t) for t in tie]]
     if fits_one_task(df, split):
         return df.withColumns(dict(columns(Window.partitionBy(key).orderBy(*order))))
 
-    segments = _segments(df, key, time, lookback, split)
+    segments = stage(_segments(df, key, time, lookback, split), "segments")
     same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_at").eqNullSafe(F.col("_slot"))
     placed = (
         df.withColumn("_at", slot_of(time, split))
@@ -107,10 +109,24 @@ def fill_series(
     time: str = "datetime",
     split: SplitConfig = SplitConfig(),
 ) -> DataFrame:
-    """Nulls take the station's last known value, leading nulls its first one."""
+    """Nulls take the station's last known value, leading nulls its first one.
+
+    Both frames are linear in the series: a leading null has no known value
+    before it, so the next one is simply the first of the whole series.
+    """
+
+    def last_known(column: str, window: WindowSpec, end: int) -> Column:
+        return F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, end))
+
+    def first_known(column: str, window: WindowSpec) -> Column:
+        whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return F.first(column, ignorenulls=True).over(whole)
+
     if fits_one_task(df, split):
         ordered = Window.partitionBy(key).orderBy(time)
-        return df.withColumns({c: F.coalesce(*_nearest(c, ordered)) for c in columns})
+        return df.withColumns(
+            {c: F.coalesce(last_known(c, ordered, 0), first_known(c, ordered)) for c in columns}
+        )
 
     slotted = df.withColumn("_slot", slot_of(time, split))
     known = [
@@ -122,35 +138,21 @@ def fill_series(
         )
     ]
     in_order = Window.partitionBy(key).orderBy("_slot")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    later = in_order.rowsBetween(1, Window.unboundedFollowing)
     carried = (
         slotted.groupBy(key, "_slot")
         .agg(*known)
         .select(
             key,
             "_slot",
-            *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in columns],
-            *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_after_{c}") for c in columns],
+            *[last_known(f"_last_{c}", in_order, -1).alias(f"_before_{c}") for c in columns],
+            *[first_known(f"_first_{c}", in_order).alias(f"_start_{c}") for c in columns],
         )
     )
     # The window comes first: its partitioning and sort then serve the join too.
     window = Window.partitionBy(key, "_slot").orderBy(time)
-    near = {}
-    for c in columns:
-        _, near[f"_back_{c}"], near[f"_forward_{c}"] = _nearest(c, window)
-    filled = {
-        c: F.coalesce(f"_back_{c}", f"_before_{c}", f"_forward_{c}", f"_after_{c}").alias(c) for c in columns
-    }
+    filled = {c: F.coalesce(f"_back_{c}", f"_before_{c}", f"_start_{c}").alias(c) for c in columns}
     return (
-        slotted.withColumns(near)
+        slotted.withColumns({f"_back_{c}": last_known(c, window, 0) for c in columns})
         .join(carried, [key, "_slot"], "left")
         .select(*[filled.get(c, F.col(c)) for c in df.columns])
     )
-
-
-def _nearest(column: str, window: WindowSpec) -> tuple[Column, Column, Column]:
-    """A value, the last known one up to it and the first known one from it."""
-    back = F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))
-    forward = F.first(column, ignorenulls=True).over(window.rowsBetween(0, Window.unboundedFollowing))
-    return F.col(column), back, forward

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,15 +65,20 @@ def raw(spark: SparkSession, sf_dir: str, stations: int | None = None, keep=("ev
     return events_as_observations(read_events(spark, sf_dir), stations, keep)
 
 
-def observations(spark: SparkSession, sf_dir: str, stations: int | None = None) -> DataFrame:
-    """Clean, normalised readings; the earliest event of each key survives.
+def readings(spark: SparkSession, sf_dir: str, stations: int | None = None) -> DataFrame:
+    """Clean, normalised readings; the earliest event of each key survives."""
+    cleaned = clean.clean_observations(raw(spark, sf_dir, stations), order_by=["event_id"])
+    return normalize_observations(cleaned).select(*OBSERVED)
+
 
-    Beyond a small table they are stored once, because the plans behind read
-    them more than once and then need only some of the columns.
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings for plans that read them more than once.
+
+    Beyond a small table they are stored first, so they are cleaned once and
+    each later pass scans only the columns it needs.
     """
-    cleaned = clean.clean_observations(raw(spark, sf_dir, stations), order_by=["event_id"])
-    readings = normalize_observations(cleaned).select(*OBSERVED)
-    return readings if fits_one_task(readings, SplitConfig()) else stage(readings, "observations")
+    df = readings(spark, sf_dir)
+    return df if fits_one_task(df, SplitConfig()) else stage(df, "observations")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -110,7 +114,7 @@ def clean_observations(spark, sf_dir):
 
 
 def normalized_observations(spark, sf_dir):
-    return observations(spark, sf_dir, STATIONS)
+    return readings(spark, sf_dir, STATIONS)
 
 
 def rejected_by_rule(spark, sf_dir):
@@ -123,11 +127,11 @@ def rejected_rows(spark, sf_dir):
 
 
 def city_readings(spark, sf_dir):
-    return clean.for_city(observations(spark, sf_dir), "City 1")
+    return clean.for_city(readings(spark, sf_dir), "City 1")
 
 
 def earliest_readings(spark, sf_dir):
-    return combine.earliest_rows(observations(spark, sf_dir), 100)
+    return combine.earliest_rows(readings(spark, sf_dir), 100)
 
 
 # -- messages and files ----------------------------------------------------
@@ -176,7 +180,7 @@ def json_files(spark, sf_dir):
 
 def lake_files(spark, sf_dir):
     path = shared_dir(spark, "lake")
-    write_parquet(observations(spark, sf_dir), path, by_day=True)
+    write_parquet(readings(spark, sf_dir), path, by_day=True)
     return load_observations(spark, path, merge_schema=True).select(*OBSERVED)
 
 
@@ -184,7 +188,7 @@ def lake_files(spark, sf_dir):
 
 
 def risk_score(spark, sf_dir):
-    df = enrich.with_risk(observations(spark, sf_dir))
+    df = enrich.with_risk(readings(spark, sf_dir))
     return df.select(
         "datetime",
         "city",
@@ -198,7 +202,7 @@ def risk_score(spark, sf_dir):
 
 
 def risk_levels(spark, sf_dir):
-    df = enrich.with_risk(observations(spark, sf_dir))
+    df = enrich.with_risk(readings(spark, sf_dir))
     return rounded(
         df.groupBy(emergency_level(F.col("disaster_risk_score")).alias("level")).agg(
             F.count("*").alias("n_rows"), F.avg("disaster_risk_score").alias("avg_score")
@@ -207,7 +211,7 @@ def risk_levels(spark, sf_dir):
 
 
 def comfort_indices(spark, sf_dir):
-    df = enrich.with_comfort(observations(spark, sf_dir))
+    df = enrich.with_comfort(readings(spark, sf_dir))
     return rounded(df.select("datetime", "city", "heat_index_c", "wind_chill_c", "hour", "is_daytime"))
 
 
@@ -217,7 +221,7 @@ def trend_features(spark, sf_dir):
 
 
 def calendar_features(spark, sf_dir):
-    return rounded(features.with_calendar(observations(spark, sf_dir).select("datetime", "city")))
+    return rounded(features.with_calendar(readings(spark, sf_dir).select("datetime", "city")))
 
 
 def lag_features(spark, sf_dir):
@@ -283,19 +287,19 @@ def ingest_report(spark, sf_dir):
 
 
 def quality_report(spark, sf_dir):
-    return rounded(quality.quality_report(observations(spark, sf_dir)))
+    return rounded(quality.quality_report(readings(spark, sf_dir)))
 
 
 def quality_score(spark, sf_dir):
-    return quality.quality_score(observations(spark, sf_dir))
+    return quality.quality_score(readings(spark, sf_dir))
 
 
 def city_list(spark, sf_dir):
-    return quality.cities(observations(spark, sf_dir))
+    return quality.cities(readings(spark, sf_dir))
 
 
 def data_summary(spark, sf_dir):
-    return quality.data_summary(observations(spark, sf_dir))
+    return quality.data_summary(readings(spark, sf_dir))
 
 
 def iqr_filter(spark, sf_dir):
@@ -309,11 +313,11 @@ def impute_mean(spark, sf_dir):
 
 
 def latest_per_city(spark, sf_dir):
-    return combine.latest_per_city(observations(spark, sf_dir))
+    return combine.latest_per_city(readings(spark, sf_dir))
 
 
 def latest_overall(spark, sf_dir):
-    return combine.latest_overall(observations(spark, sf_dir))
+    return combine.latest_overall(readings(spark, sf_dir))
 
 
 # -- metrics ---------------------------------------------------------------
@@ -378,7 +382,7 @@ def last_value_forecast(df, days=7):
 
 
 def forecast_horizon(spark, sf_dir):
-    return last_value_forecast(observations(spark, sf_dir))
+    return last_value_forecast(readings(spark, sf_dir))
 
 
 def history_plus_future(spark, sf_dir):
@@ -398,7 +402,7 @@ def prediction_upsert(spark, sf_dir):
 
 def station_state(spark, sf_dir):
     """Current-reading table whose entries were written when they were observed."""
-    return as_state(observations(spark, sf_dir), written_at=F.col("datetime"), config=LIFETIME)
+    return as_state(readings(spark, sf_dir), written_at=F.col("datetime"), config=LIFETIME)
 
 
 def current_readings(spark, sf_dir):
@@ -447,7 +451,7 @@ def stream_latest_state(spark, sf_dir):
     stream = clean_stream(repeated_messages(spark, sf_dir), delay="60 days")
     path = shared_dir(spark, "stream-state")
     drain(start_state_sink(stream, path, shared_dir(spark, "stream-checkpoints"), every=None))
-    state = read_state(spark, path, now=datetime.now())
+    state = read_state(spark, path)
     return state.select("key", "reading.*").select("key", *OBSERVED)
 
 
@@ -459,7 +463,7 @@ QUERY_MODELS = ModelConfig(gbt_iterations=5, forest_trees=10, forest_depth=5)
 
 def model_run(spark, sf_dir):
     path = shared_dir(spark, "observations")
-    observations(spark, sf_dir).write.parquet(path)
+    readings(spark, sf_dir).write.parquet(path)
     return run_on(load_observations(spark, path), BatchConfig(path, model=QUERY_MODELS))
 
 
