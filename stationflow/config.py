@@ -93,10 +93,11 @@ class ModelConfig:
 
 @dataclass(frozen=True)
 class StateConfig:
-    """Key layout and lifetime of the current-reading table."""
+    """Key layout, lifetime and files per micro-batch of the current-reading table."""
 
     prefix: str = "weather:current"
     ttl_seconds: int = 3600
+    files_per_batch: int = 16
 
 
 @dataclass(frozen=True)

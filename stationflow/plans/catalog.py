@@ -77,8 +77,12 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     Beyond a small table they are stored first, so they are cleaned once and
     each later pass scans only the columns it needs.
     """
-    df = readings(spark, sf_dir)
-    return df if fits_one_task(df, SplitConfig()) else stage(df, "observations")
+    return stored(readings(spark, sf_dir), "observations")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself when small, else a table it is written to once."""
+    return df if fits_one_task(df, SplitConfig()) else stage(df, name)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -332,7 +336,7 @@ def classification_metrics(spark, sf_dir):
 
 
 def all_metrics(spark, sf_dir):
-    return rounded(metrics.all_metrics(scored(spark, sf_dir)))
+    return rounded(metrics.all_metrics(stored(scored(spark, sf_dir), "scored")))
 
 
 def accuracy_bands(spark, sf_dir):
@@ -372,7 +376,8 @@ def category_codes(spark, sf_dir):
 
 def category_series(spark, sf_dir):
     codes = ("actual_code", "predicted_code")
-    return serving.category_series(scored(spark, sf_dir)).withColumns({c: F.col(c).cast("double") for c in codes})
+    series = serving.category_series(stored(scored(spark, sf_dir), "scored"))
+    return series.withColumns({c: F.col(c).cast("double") for c in codes})
 
 
 def last_value_forecast(df, days=7):
@@ -386,7 +391,7 @@ def forecast_horizon(spark, sf_dir):
 
 
 def history_plus_future(spark, sf_dir):
-    history = scored(spark, sf_dir)
+    history = stored(scored(spark, sf_dir), "scored")
     return combine.history_plus_future(history, last_value_forecast(history.select(*OBSERVED)))
 
 

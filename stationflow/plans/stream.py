@@ -10,6 +10,9 @@ from ..sources.sinks import lake_path
 from ..streaming.control import wait_any
 from ..streaming.etl import start_etl
 
+# Keeps the deduplication state on local disk instead of the heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Stream observations into the lake.")
@@ -19,7 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--delay", default="1 hour", help="watermark of the deduplication")
     parser.add_argument("--max-per-trigger", type=int, default=None)
     args = parser.parse_args(argv)
-    spark = build_session("stationflow-stream")
+    spark = build_session("stationflow-stream", spark__sql__streaming__stateStore__providerClass=STATE_STORE)
     messages = read_messages(spark, kafka_options(args.servers, args.topic, args.max_per_trigger))
     start_etl(
         messages,

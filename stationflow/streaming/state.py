@@ -43,13 +43,18 @@ def as_state(df: DataFrame, written_at: Column | None = None, config: StateConfi
 def write_state_batch(
     batch: DataFrame, batch_id: int, path: str, config: StateConfig = StateConfig()
 ) -> None:
-    """Store one micro-batch's delta; an empty batch writes nothing."""
+    """Store one micro-batch's delta; an empty batch writes nothing.
+
+    The delta has one row per station, so a few files hold it; without the
+    bound every batch would leave one file per shuffle partition.
+    """
     if batch.isEmpty():
         return
     (
         as_state(batch, config=config)
         .withColumn(HOUR, F.date_format("written_at", "yyyy-MM-dd-HH"))
         .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        .coalesce(config.files_per_batch)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(HOUR, BATCH)

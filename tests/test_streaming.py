@@ -46,6 +46,21 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, feed, tmp_path, spr
     assert run_lake(spark, path, tmp_path, delay=delay, spread=spread).count() == 210
 
 
+def test_disk_state_store(spark, feed, tmp_path):
+    from stationflow.plans.stream import STATE_STORE
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, STATE_STORE)
+    try:
+        path, add = feed
+        raw = synthetic_observations(spark, 50, ("A", "B"))
+        add(raw.union(raw))
+        assert run_lake(spark, path, tmp_path).count() == 50
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_late_rows_fall_to_the_watermark(spark, feed, tmp_path):
     path, add = feed
     add(synthetic_observations(spark, 10, ("A",), start="2024-01-02 00:00:00"))
