@@ -206,7 +206,7 @@ IQR = """WITH q AS (SELECT quantile_disc(value, 0.25) AS q1, quantile_disc(value
 # -- metrics -----------------------------------------------------------------
 
 
-def regression(digits: bool = True) -> str:
+def regression() -> str:
     rows = []
     for m in MEASURES:
         p, e = f"prediction_{m}", f"({m} - prediction_{m})"
