@@ -1 +1,11 @@
-"""Operators that turn raw documents into training data."""
+"""Operators that turn raw documents into training data.
+
+Functions of this package travel to the executors by value, so that a cluster
+needs no installed copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.llm import packing
+from stationflow.llm import packing, simhash_dedup
 from stationflow.llm.common import table
 
 
@@ -15,7 +15,12 @@ def op1_binary_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), with_ids=False)
 
 
+def op3_simhash_covering(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    return simhash_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_binary_packing,)
+    f.__name__: f for f in (op1_binary_packing, op3_simhash_covering)
 }
 SQL: dict[str, str] = {}
