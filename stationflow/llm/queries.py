@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stationflow.llm import packing, simhash_dedup
+from stationflow.llm import packing, simhash_dedup, topk
 from stationflow.llm.common import table
 
 
@@ -20,7 +21,24 @@ def op3_simhash_covering(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_voronoi_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best partners of every twentieth vector among all vectors."""
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_binary_packing, op3_simhash_covering)
+    f.__name__: f for f in (op1_binary_packing, op3_simhash_covering, op6_voronoi_topk)
+}
+SQL: dict[str, str] = {
+    "op6_voronoi_topk": """
+        WITH v AS (
+          SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
 }
-SQL: dict[str, str] = {}
