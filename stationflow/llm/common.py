@@ -26,9 +26,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def own_name(*taken: DataFrame) -> str:
-    """A column name that none of the frames has."""
-    del taken
+def own_name() -> str:
+    """A column name that no table has."""
     return f"own_{uuid.uuid4().hex}"
 
 
@@ -43,6 +42,21 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
+    """``label, text`` of at most ``bound`` labelled ids that are not held out.
+
+    Ids with the smallest hash are taken, so the choice does not follow the
+    order of the table. The ids are few enough to be sent to every executor.
+    """
+    chosen = (
+        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+        .select("doc_id", F.col(label).cast("int").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
+        .limit(bound)
+    )
+    return texts(docs, "doc_id").join(F.broadcast(chosen), "doc_id").select("label", "text")
+
+
 def rows_of(batches: Iterable[pa.RecordBatch], size: int = 256) -> Iterator[tuple]:
     """Rows of Arrow batches, a few at a time as Python objects."""
     for batch in batches:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import packing, simhash_dedup, topk
+from stationflow.llm import packing, quality, simhash_dedup, topk, toxicity
 from stationflow.llm.common import table
 
 
@@ -21,13 +21,25 @@ def op3_simhash_covering(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_nb_ngram_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+def op5_rule_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document."""
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 def op6_voronoi_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 best partners of every twentieth vector among all vectors."""
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_binary_packing, op3_simhash_covering, op6_voronoi_topk)
+    f.__name__: f for f in (op1_binary_packing, op3_simhash_covering, op4_nb_ngram_toxicity, op5_rule_quality, op6_voronoi_topk)
 }
 SQL: dict[str, str] = {
     "op6_voronoi_topk": """
