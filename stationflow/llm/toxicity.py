@@ -28,8 +28,8 @@ PLACES = 1 << BITS
 SAMPLE = 16_000
 #: N-grams in fewer training documents, or with a smaller absolute ratio, carry no weight.
 LEAST_DOCUMENTS = 5
-LEAST_RATIO = 0.5
-RIDGE = 0.003
+LEAST_RATIO = 1.0
+RIDGE = 0.001
 
 
 def places(text: str) -> np.ndarray:
@@ -55,12 +55,7 @@ class ToxicityModel:
 def score_text(text: str, weights: np.ndarray, intercept: float) -> float:
     hit = places(text)
     present = np.unique(hit[weights[hit] != 0])
-    return float(1 / (1 + np.exp(-np.clip(intercept + weights[present].sum() / scale(len(present)), -30, 30))))
-
-
-def scale(n: int) -> float:
-    """Divisor that keeps long documents, with many n-grams of little weight, comparable."""
-    return float(np.sqrt(max(n, 1)))
+    return float(1 / (1 + np.exp(-np.clip(intercept + weights[present].sum(), -30, 30))))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> ToxicityModel:
@@ -94,7 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     def vector(at: list[int]):
         kept = np.array(at, np.int64)
         kept = kept[shared.value[kept] != 0]
-        return Vectors.sparse(PLACES, kept.tolist(), (shared.value[kept] / scale(len(kept))).tolist())
+        return Vectors.sparse(PLACES, kept.tolist(), shared.value[kept].tolist())
 
     rows = stored(grams.select(F.col("label").cast("double").alias("label"), F.udf(vector, VectorUDT())("at").alias("features")), "vectors")
     fitted = LogisticRegression(regParam=RIDGE, maxIter=60, standardization=False).fit(rows)
