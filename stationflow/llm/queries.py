@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import packing, quality, simhash_dedup, topk, toxicity
+from stationflow.llm import chat, decontaminate, packing, quality, simhash_dedup, topk, toxicity
 from stationflow.llm.common import table
 
 
@@ -38,10 +38,40 @@ def op6_voronoi_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op8_perspective_rotation(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation as seen by each of its participants."""
+    masks = F.array_join(F.transform("masks", lambda m: F.concat_ws(":", m["begin"], m["end"])), " ")
+    rotated = chat.rotate(table(spark, folder, "conversations"))
+    return rotated.select("conv_id", "participant", "part", F.col("n_turns").cast("long").alias("n_turns"), "text", masks.alias("masks"))
+
+
+def op9_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_binary_packing, op3_simhash_covering, op4_nb_ngram_toxicity, op5_rule_quality, op6_voronoi_topk)
+    f.__name__: f for f in (op1_binary_packing, op3_simhash_covering, op4_nb_ngram_toxicity, op5_rule_quality, op6_voronoi_topk, op8_perspective_rotation, op9_simhash_windows)
 }
 SQL: dict[str, str] = {
+    "op8_perspective_rotation": r"""
+        WITH t AS (
+          SELECT conv_id, turn, CAST(coalesce(floor(turn / 256), -1) AS BIGINT) AS part, coalesce(role, 'unknown') AS name, coalesce(text, '') AS said
+          FROM conversations),
+        p AS (SELECT DISTINCT conv_id, name AS participant FROM t),
+        x AS (
+          SELECT t.*, participant, name = participant AS own,
+            CASE WHEN name = participant THEN '<|assistant|>' ELSE '<|user name=' || replace(name, '<|', '<\|') || '|>' END || chr(10) AS head,
+            replace(said, '<|', '<\|') || '<|end|>' || chr(10) AS body
+          FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+        y AS (
+          SELECT *, sum(length(head) + length(body)) OVER (
+            PARTITION BY conv_id, participant, part ORDER BY turn, name, said ROWS UNBOUNDED PRECEDING) AS e
+          FROM x)
+        SELECT conv_id, participant, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY turn, name, said) AS text,
+          coalesce(string_agg(CASE WHEN own THEN CAST(e - length(body) AS VARCHAR) || ':' || CAST(e AS VARCHAR) END, ' ' ORDER BY turn, name, said), '') AS masks
+        FROM y GROUP BY conv_id, participant, part
+    """,
     "op6_voronoi_topk": """
         WITH v AS (
           SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
