@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import chat, decontaminate, packing, quality, simhash_dedup, topk, toxicity
+from stationflow.llm import chat, decontaminate, line_dedup, packing, quality, simhash_dedup, topk, toxicity
 from stationflow.llm.common import table
 
 
@@ -38,6 +38,11 @@ def op6_voronoi_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op7_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of every line of every document, and whether it is kept."""
+    return line_dedup.duplicate_lines(table(spark, folder, "documents"))
+
+
 def op8_perspective_rotation(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation as seen by each of its participants."""
     masks = F.array_join(F.transform("masks", lambda m: F.concat_ws(":", m["begin"], m["end"])), " ")
@@ -51,7 +56,7 @@ def op9_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_binary_packing, op3_simhash_covering, op4_nb_ngram_toxicity, op5_rule_quality, op6_voronoi_topk, op8_perspective_rotation, op9_simhash_windows)
+    f.__name__: f for f in (op1_binary_packing, op3_simhash_covering, op4_nb_ngram_toxicity, op5_rule_quality, op6_voronoi_topk, op7_fuzzy_lines, op8_perspective_rotation, op9_simhash_windows)
 }
 SQL: dict[str, str] = {
     "op8_perspective_rotation": r"""
