@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import chat, decontaminate, line_dedup, packing, quality, simhash_dedup, topk, toxicity
+from stationflow.llm import chat, decontaminate, line_dedup, packing, quality, simhash_dedup, suffix_dedup, topk, toxicity
 from stationflow.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_binary_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), with_ids=False)
 
 
+def op2_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes that remain of every document without repeated 400-byte strings."""
+    return suffix_dedup.deduplicate(table(spark, folder, "documents"), with_text=False)
+
+
 def op3_simhash_covering(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return simhash_dedup.near_duplicates(table(spark, folder, "documents"))
@@ -56,7 +61,7 @@ def op9_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_binary_packing, op3_simhash_covering, op4_nb_ngram_toxicity, op5_rule_quality, op6_voronoi_topk, op7_fuzzy_lines, op8_perspective_rotation, op9_simhash_windows)
+    f.__name__: f for f in (op1_binary_packing, op2_suffix_arrays, op3_simhash_covering, op4_nb_ngram_toxicity, op5_rule_quality, op6_voronoi_topk, op7_fuzzy_lines, op8_perspective_rotation, op9_simhash_windows)
 }
 SQL: dict[str, str] = {
     "op8_perspective_rotation": r"""
