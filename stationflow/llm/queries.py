@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import chat, decontaminate, line_dedup, packing, quality, simhash_dedup, suffix_dedup, topk, toxicity
+from stationflow.llm import chat, decontaminate, line_dedup, packing, paragraphs, quality, simhash_dedup, suffix_dedup, topk, toxicity
 from stationflow.llm.common import table
 
 
@@ -60,8 +60,13 @@ def op9_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op10_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Paragraphs that several documents share, and the one occurrence that is kept."""
+    return paragraphs.duplicate_paragraphs(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_binary_packing, op2_suffix_arrays, op3_simhash_covering, op4_nb_ngram_toxicity, op5_rule_quality, op6_voronoi_topk, op7_fuzzy_lines, op8_perspective_rotation, op9_simhash_windows)
+    f.__name__: f for f in (op1_binary_packing, op2_suffix_arrays, op3_simhash_covering, op4_nb_ngram_toxicity, op5_rule_quality, op6_voronoi_topk, op7_fuzzy_lines, op8_perspective_rotation, op9_simhash_windows, op10_paragraph_minhash)
 }
 SQL: dict[str, str] = {
     "op8_perspective_rotation": r"""
