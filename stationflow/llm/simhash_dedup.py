@@ -25,8 +25,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from stationflow.llm.common import rows_of, stored, texts
+from stationflow.llm.common import own_name, rows_of, stored, texts
 from stationflow.llm.components import components
 
 SHINGLE = 3
@@ -162,3 +163,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that are first in their class: by id (null last), then as read."""
+    row, fp, names = own_name(), own_name(), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [fingerprint(text or "") for (text,) in rows_of([batch.select(["text"])])]
+            yield batch.append_column(fp, pa.array(found, pa.int64()))
+
+    printed = docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(fp, LongType())]))
+    rows = stored(printed.withColumn(row, F.monotonically_increasing_id()), "printed")
+    known = rows.select(F.col(row).alias("row"), "doc_id", F.col(fp).alias("fp"))
+    rooted = known.join(classes(known), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")).alias("first"))
+    return rows.join(first.select(F.col("first.row").alias(row)), row, "left_semi").select(*names)
