@@ -20,13 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm.common import rows_of
+from stationflow.llm.words import SHINGLE, shingles, word_hashes
 
-SHINGLE = 5
 SIMILARITY = 0.8
 #: A block of the benchmark holds at most so many items and words.
 BLOCK_ITEMS = 5_000
@@ -34,33 +33,8 @@ BLOCK_WORDS = 1_000_000
 RADIUS = 23
 FILTER_BITS = 22
 
-#: Bytes of UTF-8: ASCII letters in lower case, other ASCII but digits as spaces.
-PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
-
-
-class WordHashes(dict):
-    """64-bit hashes of words; forgets all when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-def shingles(text: str, hashes: WordHashes) -> np.ndarray:
-    """Hash of the shingle at every word, fewer than five words: none."""
-    words = text.encode("utf-8", "replace").translate(PLAIN).split()
-    n = len(words) - SHINGLE + 1
-    if n < 1:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    state = h[:n].copy()
-    for j in range(1, SHINGLE):
-        state *= np.uint64(0x9E3779B97F4A7C15)
-        state ^= state >> np.uint64(31)
-        state += h[j : n + j]
-    return state * np.uint64(0xBF58476D1CE4E5B9)
+def shingles_of(text: str | None) -> np.ndarray:
+    return shingles(word_hashes((text or "").encode("utf-8", "replace"))[0])
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -79,9 +53,9 @@ class Index:
     def __init__(self, items: list[tuple], similarity: float):
         self.similarity = similarity
         self.items: dict[int, list] = {}  # by number of shingles
-        hashes, known = WordHashes(), []
+        known = []
         for item_id, text in items:
-            found = shingles(text or "", hashes)
+            found = shingles_of(text)
             if len(found):
                 self.items.setdefault(len(found), []).append((item_id, Counter(found.tolist()), majority(found)))
                 known.append(found)
@@ -101,7 +75,8 @@ class Index:
         maybe = np.nonzero(self.filter[found >> np.uint64(64 - FILTER_BITS)])[0]
         if not len(maybe):
             return out
-        maybe = maybe[np.isin(found[maybe], self.known)]
+        at = np.minimum(np.searchsorted(self.known, found[maybe]), len(self.known) - 1)
+        maybe = maybe[self.known[at] == found[maybe]]
         if not len(maybe):
             return out
         hit = np.zeros(len(found) + 1, np.int64)
@@ -157,11 +132,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         items = context.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            index, hashes = Index(items.value, similarity), WordHashes()
+            index = Index(items.value, similarity)
             for batch in batches:
                 rows, found = [], []
                 for row, (text,) in enumerate(rows_of([batch.select(["text"])])):
-                    for item_id, match in index.matches(shingles(text or "", hashes)).items():
+                    for item_id, match in index.matches(shingles_of(text)).items():
                         rows.append(row)
                         found.append((item_id, *match))
                 columns = list(zip(*found)) if found else [()] * 4
@@ -183,9 +158,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
         items = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            index, hashes = Index(items.value, similarity), WordHashes()
+            index = Index(items.value, similarity)
             for batch in batches:
-                clean = [not index.matches(shingles(text or "", hashes)) for (text,) in rows_of([batch.select(["text"])])]
+                clean = [not index.matches(shingles_of(text)) for (text,) in rows_of([batch.select(["text"])])]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -1,7 +1,7 @@
 """Substring deduplication over paragraphs by MinHash bands.
 
 A paragraph is a line, cut further after those sentence ends that the bytes before
-them choose, about every second one. So a passage inside a longer line falls
+them choose, seven of eight. So a passage inside a longer line falls
 into the same paragraphs wherever it stands. Paragraphs of fewer than
 ``LEAST_WORDS`` words say too little and are left alone; equal ones are one from then on.
 
@@ -23,14 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm.common import rows_of, stored
 from stationflow.llm.components import components
-from stationflow.llm.decontaminate import PLAIN, SHINGLE, WordHashes
 from stationflow.llm.suffix_dedup import keyed
+from stationflow.llm.words import SHINGLE, mixed, shingles, word_hashes
 
 SIMILARITY = 0.8
 RECALL = 0.99
@@ -51,7 +50,7 @@ def cuts(data: bytes) -> list[tuple[int, int]]:
     out, at = [], 0
     for match in SENTENCE_END.finditer(data):
         end = match.end()
-        if data[end - 1] == 10 or zlib.crc32(data[max(at, end - 8) : end]) & 1:
+        if data[end - 1] == 10 or zlib.crc32(data[max(at, end - 8) : end]) & 7:
             out.append((at, end))
             at = end
     if at < len(data):
@@ -59,44 +58,40 @@ def cuts(data: bytes) -> list[tuple[int, int]]:
     return out
 
 
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of all ranges, and where each range begins among them."""
+    sizes = high - low
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    return np.repeat(low - starts, sizes) + np.arange(sizes.sum()), starts
+
+
 class Sketcher:
     """Shingles and MinHashes of paragraphs."""
 
     def __init__(self, hashes: int):
-        self.words = WordHashes()
         draw = np.random.default_rng(10)
         self.factors = draw.integers(0, 1 << 63, hashes, np.uint64) * np.uint64(2) + np.uint64(1)
         self.terms = draw.integers(0, 1 << 63, hashes, np.uint64)
-
-    def shingles(self, words: list[bytes]) -> np.ndarray:
-        h = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        n = len(words) - SHINGLE + 1
-        state = h[:n].copy()
-        for j in range(1, SHINGLE):
-            state *= np.uint64(0x9E3779B97F4A7C15)
-            state ^= state >> np.uint64(31)
-            state += h[j : n + j]
-        state *= np.uint64(0xBF58476D1CE4E5B9)
-        return state ^ state >> np.uint64(29)
-
-    def paragraphs(self, data: bytes) -> tuple[list[tuple[int, int, int, int]], np.ndarray, np.ndarray]:
-        """``number, begin, end, hash`` of every paragraph, all shingles, and where each paragraph's begin."""
-        found, words, starts, valid = [], [], [], []
-        for number, (begin, end) in enumerate(cuts(data)):
-            own = data[begin:end].translate(PLAIN).split()
-            if len(own) >= LEAST_WORDS:
-                digest = xxhash.xxh3_64_intdigest(b" ".join(own))
-                found.append((number, begin, end, digest - (1 << 64) if digest >> 63 else digest))
-                starts.append(len(words))
-                words += own
-                valid.append(len(own) - SHINGLE + 1)
-        if not found:
-            return [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        every = self.shingles(words)
+        self.powers = np.ones(1, np.uint64)
+
+    def paragraphs(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number and hash of every paragraph, all shingles, and where each paragraph's begin."""
+        h, at = word_hashes(data)
+        borders = np.array(cuts(data), np.int64).reshape(-1, 2)
+        low, high = np.searchsorted(at, borders[:, 0]), np.searchsorted(at, borders[:, 1])
+        number = np.flatnonzero(high - low >= LEAST_WORDS)
+        if not len(number):
+            return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        low, high = low[number], high[number]
+        if len(self.powers) <= len(h):
+            steps = np.full(2 * len(h), 0x9E3779B97F4A7C15, np.uint64)
+            steps[0] = 1
+            self.powers = np.cumprod(steps, dtype=np.uint64)
+        word, starts = _ranges(low, high)
+        digest = mixed(np.add.reduceat(h[word] * self.powers[word - np.repeat(low, high - low)], starts))
         # Shingles over the end of a paragraph belong to none.
-        counts = np.array(valid)
-        at = np.repeat(np.array(starts) - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-        return found, every[at], np.concatenate([[0], np.cumsum(counts)[:-1]])
+        word, starts = _ranges(low, high - SHINGLE + 1)
+        return number, digest.view(np.int64), shingles(h)[word], starts
 
     def minima(self, shingles: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
         out = []
@@ -118,17 +113,18 @@ def sketches(docs: DataFrame, bands: int) -> DataFrame:
                 part = batch.slice(begin, 128)
                 row, number, digest, keys = [], [], [], [[] for _ in range(bands)]
                 for i, (text,) in enumerate(rows_of([part.select(["text"])])):
-                    found, shingles, starts = sketcher.paragraphs(text.encode("utf-8", "surrogatepass"))
-                    if found:
-                        row += [i] * len(found)
-                        number += [f[0] for f in found]
-                        digest += [f[3] for f in found]
-                        for j, least in enumerate(sketcher.minima(shingles, starts)):
+                    own, hashes, found, starts = sketcher.paragraphs(text.encode("utf-8", "surrogatepass"))
+                    if len(own):
+                        row.append(np.full(len(own), i))
+                        number.append(own)
+                        digest.append(hashes)
+                        for j, least in enumerate(sketcher.minima(found, starts)):
                             keys[j].append((least >> np.uint64(24) & low | np.uint64(j << 40)).view(np.int64))
                 if row:
-                    at = pa.array(row, "int64")
+                    at = pa.array(np.concatenate(row))
+                    numbers, digests = pa.array(np.concatenate(number)).cast("int32"), pa.array(np.concatenate(digest))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id").take(at), part.column("th").take(at), pa.array(number, "int32"), pa.array(digest, "int64"), *(pa.array(np.concatenate(k)) for k in keys)],
+                        [part.column("doc_id").take(at), part.column("th").take(at), numbers, digests, *(pa.array(np.concatenate(k)) for k in keys)],
                         ["doc_id", "th", "number", "hash", *names],
                     )
 
@@ -146,12 +142,11 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for begin in range(0, batch.num_rows, 128):
                 digest, sets = [], []
                 for text, numbers in rows_of([batch.slice(begin, 128).select(["text", "numbers"])]):
-                    data, numbers = text.encode("utf-8", "surrogatepass"), set(numbers)
-                    found, shingles, starts = sketcher.paragraphs(data)
-                    for (number, _, _, own), part in zip(found, np.split(shingles, starts[1:]) if found else (), strict=True):
-                        if number in numbers:
-                            digest.append(own)
-                            sets.append(np.unique(part).view(np.int64))
+                    own, hashes, found, starts = sketcher.paragraphs(text.encode("utf-8", "surrogatepass"))
+                    ends = np.append(starts[1:], len(found))
+                    for k in np.flatnonzero(np.isin(own, numbers)).tolist():
+                        digest.append(int(hashes[k]))
+                        sets.append(np.unique(found[starts[k] : ends[k]]).view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(digest, "int64"), pa.array(sets, pa.list_(pa.int64()))], ["hash", "shingles"])
 
     same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("th") == F.col("of_th"))

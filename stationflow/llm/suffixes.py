@@ -33,11 +33,17 @@ def _upto(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """Hash of the ``gram`` bytes from every place, by differences of one running sum."""
+def byte_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sum of weighted bytes, and what makes differences of it independent of place."""
     up, down = _upto(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTES[data] * up[:-1], out=sums[1:])
+    return sums, down
+
+
+def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """Hash of the ``gram`` bytes from every place, by differences of one running sum."""
+    sums, down = byte_sums(data)
     h = (sums[gram:] - sums[:-gram]) * down[: len(data) - gram + 1]
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
