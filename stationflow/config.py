@@ -67,7 +67,8 @@ class QualityConfig:
 class ModelConfig:
     """Learners per target and their parameters.
 
-    ``parallelism`` is the number of targets fitted at the same time.
+    ``parallelism`` is the number of targets fitted at the same time; a text target
+    with more than ``most_labels`` distinct values is not a category and fails.
     """
 
     seed: int = 42
@@ -78,6 +79,7 @@ class ModelConfig:
     forest_trees: int = 50
     forest_depth: int = 8
     min_training_rows: int = 50
+    most_labels: int = 1_000
     parallelism: int = 6
     learners: dict[str, str] = field(
         default_factory=lambda: {
@@ -93,23 +95,14 @@ class ModelConfig:
 
 @dataclass(frozen=True)
 class StateConfig:
-    """Key layout, lifetime and files per micro-batch of the current-reading table."""
+    """Key layout and lifetime of the current-reading table."""
 
     prefix: str = "weather:current"
     ttl_seconds: int = 3600
-    files_per_batch: int = 16
 
 
 @dataclass(frozen=True)
 class SplitConfig:
-    """When and how a long series is cut so no task holds all of it.
+    """How many consecutive rows of one series a task holds at a time."""
 
-    Plans over inputs below ``above_bytes`` (Catalyst's size estimate) run one
-    window per series, because even a single hot series then fits one task.
-    Above it, series longer than ``rows_per_segment`` are cut at multiples of
-    ``slot_seconds``.
-    """
-
-    above_bytes: int = 64 * 1024 * 1024
     rows_per_segment: int = 1_000_000
-    slot_seconds: int = 86_400

@@ -89,15 +89,16 @@ def dedupe(
 def dedupe_stream(
     df: DataFrame,
     keys: Sequence[str] = KEYS,
-    delay: str | None = "1 hour",
-    spread: int = 8,
+    delay: str | None = None,
+    spread: int = 1,
 ) -> DataFrame:
     """First arrival per key on a stream.
 
-    ``delay`` bounds the state by a watermark on ``datetime``; ``None`` keeps
-    all keys for ever. With ``spread`` > 1 a first pass deduplicates within
-    (key, slice of the input tasks), so at most ``spread`` copies of a hot key
-    reach the task that owns it.
+    By default all keys are kept for ever and no row is lost. ``delay`` bounds
+    the state by a watermark on ``datetime`` and drops rows that come later.
+    With ``spread`` > 1 a first pass deduplicates within (key, slice of the
+    input tasks), so at most ``spread`` copies of a hot key reach the task that
+    owns it, for as many more entries of state.
     """
     if delay:
         df = df.withWatermark("datetime", delay)
@@ -114,8 +115,8 @@ def clean_observations(
     df: DataFrame,
     rules: Sequence[RangeRule] = RANGE_RULES,
     order_by: Sequence[str | Column] | None = None,
-    delay: str | None = "1 hour",
-    spread: int = 8,
+    delay: str | None = None,
+    spread: int = 1,
 ) -> DataFrame:
     """Coerce, drop unusable rows, tidy text, apply the range rules, deduplicate."""
     valid = valid_observations(df, rules)

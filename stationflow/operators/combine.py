@@ -8,16 +8,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CATEGORY, TARGETS
+from ..session import stage
+
+#: Categories of which the codes are sent to every executor.
+MOST_BROADCAST_CODES = 100_000
 
 
 def latest_per_city(df: DataFrame, tie: Sequence[str] = (), key: str = "city") -> DataFrame:
     """The newest row of every station; equal times are decided by ``tie``, then the whole row.
 
-    A grouped maximum: map tasks keep one row per station before the shuffle.
+    Ranks that Catalyst limits to one row per station in the map tasks, before
+    the shuffle.
     """
     others = [c for c in df.columns if c not in ("datetime", *tie)]
-    newest = F.max_by(F.struct(*df.columns), F.struct("datetime", *tie, *others))
-    return df.groupBy(F.col(key).alias("_key")).agg(newest.alias("r")).select("r.*")
+    order = [F.col(c).desc_nulls_last() for c in ("datetime", *tie, *others)]
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def latest_overall(df: DataFrame) -> DataFrame:
@@ -65,26 +71,29 @@ def expand_horizon(last_rows: DataFrame, days: int = 7, keep_time: bool = False)
     )
 
 
-def dense_codes(values: DataFrame, column: str, prefix: int = 2) -> DataFrame:
+def dense_codes(values: DataFrame, column: str) -> DataFrame:
     """Distinct non-null texts numbered 0..n-1 in order.
 
-    Two levels: texts are ranked within their first characters, and the groups
-    are offset by a running count, so texts are never sorted in one task; only
-    one row per prefix is.
+    The distinct texts are range-partitioned and ranked within their range; the
+    ranges are offset by a running count, so no task sorts more than one range,
+    whatever beginnings the texts share.
     """
-    distinct = (
+    ranges = stage(
         values.filter(F.col(column).isNotNull())
         .select(column)
         .distinct()
-        .withColumn("_prefix", F.substring(column, 1, prefix))
+        .repartitionByRange(column)
+        .withColumn("_range", F.spark_partition_id()),
+        "codes",
     )
-    sizes = distinct.groupBy("_prefix").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_prefix", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    within = F.row_number().over(Window.partitionBy("_prefix").orderBy(column)) - 1
+    sizes = ranges.groupBy("_range").agg(F.count("*").alias("_size"))
+    # One row per range.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(column)) - 1
     return (
-        distinct.withColumn("_rank", within)
-        .join(offsets, "_prefix")
+        ranges.withColumn("_rank", within)
+        .join(offsets, "_range")
         .select(column, (F.col("_offset") + F.col("_rank")).cast("int").alias("code"))
     )
 
@@ -96,8 +105,15 @@ def category_codes(df: DataFrame, target: str = CATEGORY) -> DataFrame:
 
 
 def with_category_codes(df: DataFrame, target: str = CATEGORY) -> DataFrame:
-    """Add ``actual_code`` and ``predicted_code``; nulls stay null."""
-    codes = category_codes(df, target)
+    """Add ``actual_code`` and ``predicted_code``; nulls stay null.
+
+    The codes are counted first: up to ``MOST_BROADCAST_CODES`` they go to every
+    executor, and no row of ``df`` is shuffled on a column of few values.
+    Beyond, there are too many categories for any to be a hot key by nature.
+    """
+    codes = stage(category_codes(df, target), "category-codes")
+    if codes.count() <= MOST_BROADCAST_CODES:
+        codes = F.broadcast(codes)
     actual = codes.select(F.col("category").alias(target), F.col("code").alias("actual_code"))
     predicted = codes.select(F.col("category").alias(f"prediction_{target}"), F.col("code").alias("predicted_code"))
     return df.join(actual, target, "left").join(predicted, f"prediction_{target}", "left")
@@ -110,9 +126,14 @@ def upsert(
     return old.join(new.select(*keys), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def hash_share(*keys: str) -> Column:
-    """A number in [0, 1) fixed by the key's text, the same on every run and layout."""
-    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+def hash_share(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A number in [0, 1) fixed by the key, the same on every run and layout.
+
+    A time counts as its microseconds, so the session's time zone has no part in it.
+    """
+    times = {name for name, kind in df.dtypes if kind == "timestamp"}
+    parts = [(F.unix_micros(k) if k in times else F.col(k)).cast("string") for k in keys]
+    digest = F.md5(F.concat_ws("|", *parts))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
@@ -120,7 +141,7 @@ def hash_split(
     df: DataFrame, train_fraction: float = 0.8, keys: Sequence[str] = ("city", "datetime")
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of the key: no shuffle, no dependence on layout."""
-    marked = df.withColumn("_share", hash_share(*keys))
+    marked = df.withColumn("_share", hash_share(df, keys))
     return (
         marked.filter(F.col("_share") < train_fraction).drop("_share"),
         marked.filter(F.col("_share") >= train_fraction).drop("_share"),

@@ -1,16 +1,17 @@
 """Windows over a station's series that no single task has to hold.
 
 A window partitioned by station puts all rows of that station into one task.
-That is fine for ordinary stations and wrong for one holding a third of the
-table. The functions here give the same values as the plain window, but
+The functions here give the same values as that window, but cut every series at
+row positions: the table is range-partitioned by station and time, which also
+splits a single day of a single station, positions follow from the row counts
+of the ranges, and a segment is ``rows_per_segment`` consecutive positions.
 
-* ``over_series`` cuts long series into segments and gives each segment copies
-  of as many preceding rows as its frames can read;
-* ``fill_series`` works inside (station, slot) and carries the last and first
-  known values across slots through a small per-slot table.
+* ``over_series`` gives each segment copies of as many preceding rows as its
+  frames can read;
+* ``fill_series`` carries the last and first known values across segments
+  through a small per-segment table.
 
-A slot is a fixed span of time (a day). Cleaned rows are unique per station and
-second, so a slot holds a bounded number of rows however long the series is.
+There is one plan at every size.
 """
 
 from __future__ import annotations
@@ -21,50 +22,38 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..config import SplitConfig
-from ..session import plan_bytes, stage
+from ..session import stage
 
 SeriesColumns = Callable[[WindowSpec], Mapping[str, Column]]
 
 
-def fits_one_task(df: DataFrame, split: SplitConfig) -> bool:
-    size = plan_bytes(df)
-    return size is not None and size <= split.above_bytes
+def with_positions(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Add ``_row``: each row's place, from 0, in its key's series ordered by ``order``.
 
-
-def slot_of(time: str, split: SplitConfig) -> Column:
-    return F.floor(F.unix_timestamp(F.col(time).cast("timestamp")) / split.slot_seconds)
-
-
-def _segments(df: DataFrame, key: str, time: str, lookback: int, split: SplitConfig) -> DataFrame:
-    """(key, slot) -> segments of that slot, for keys longer than one segment.
-
-    ``members`` lists the slot's own segment first, then every later segment
-    that starts at most ``lookback`` rows after the slot ends and so needs a
-    copy of it. The windows run over the slots of a key, whose number is
-    bounded by the time span, not by the row count.
+    The ranges are stored, because they come from a sample and the counts must
+    belong to the same ranges as the rows.
     """
-    slots = df.groupBy(F.col(key).alias("_key"), slot_of(time, split).alias("_slot")).agg(
-        F.count("*").alias("n")
+    columns = [F.col(c) for c in order]
+    ranges = stage(
+        df.repartitionByRange(F.col(key), *columns).withColumn("_range", F.spark_partition_id()), "ranges"
     )
-    by_key = Window.partitionBy("_key")
-    in_order = by_key.orderBy("_slot")
-    before = F.coalesce(F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = (
-        slots.withColumns({"before": before, "total": F.sum("n").over(by_key)})
-        .filter(F.col("total") > split.rows_per_segment)
-        .withColumn("segment", F.floor(F.col("before") / split.rows_per_segment))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranges.groupBy(key, "_range")
+        .agg(F.count("*").alias("_n"))
+        .select(F.col(key).alias("_key"), F.col("_range").alias("_at"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
-    ahead = F.collect_list(F.struct("segment", "before")).over(in_order.rowsBetween(1, lookback))
-    needed = F.transform(
-        F.filter(
-            "ahead",
-            lambda s: (s["segment"] > F.col("segment"))
-            & (s["before"] < F.col("before") + F.col("n") + lookback),
-        ),
-        lambda s: s["segment"],
+    within = F.row_number().over(Window.partitionBy(key, "_range").orderBy(*columns)) - 1
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_at"))
+    return (
+        ranges.withColumn("_within", within)
+        .join(starts, same)
+        .select(*df.columns, (F.col("_start") + F.col("_within")).alias("_row"))
     )
-    members = F.array_union(F.array("segment"), needed)
-    return placed.withColumn("ahead", ahead).select("_key", "_slot", members.alias("_members"))
+
+
+def segment_of(position: Column, split: SplitConfig) -> Column:
+    return F.floor(position / split.rows_per_segment)
 
 
 def over_series(
@@ -80,26 +69,15 @@ def over_series(
 
     ``columns`` gets the window (partitioned and ordered, no frame) and returns
     the new columns; their frames and lags must stay within ``lookback``
-    preceding rows and must not look ahead. Small inputs use one plain window:
-    one shuffle, one sort. Larger ones shuffle on (station, segment), where
-    stations shorter than a segment have just one. The table of segments is
-    stored first, so its real size decides whether Catalyst broadcasts it or
-    sorts and merges; give such inputs as stored tables, they are read twice.
+    preceding rows and must not look ahead. No task holds more than
+    ``rows_per_segment + lookback`` rows of a station at a time; rows that agree
+    in time and ``tie`` stand in any, but one, order.
     """
-    order = [F.col(time), *[F.col(t) for t in tie]]
-    if fits_one_task(df, split):
-        return df.withColumns(dict(columns(Window.partitionBy(key).orderBy(*order))))
-
-    segments = stage(_segments(df, key, time, lookback, split), "segments")
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_at").eqNullSafe(F.col("_slot"))
-    placed = (
-        df.withColumn("_at", slot_of(time, split))
-        .join(segments, same, "left")
-        .select(*df.columns, F.coalesce("_members", F.array(F.lit(0).cast("bigint"))).alias("_members"))
-        .select(*df.columns, F.posexplode("_members").alias("_copy", "_segment"))
-    )
-    window = Window.partitionBy(key, "_segment").orderBy(*order)
-    return placed.withColumns(dict(columns(window))).filter("_copy = 0").drop("_copy", "_segment")
+    row = F.col("_row")
+    needed_by = F.sequence(segment_of(row, split), segment_of(row + lookback, split))
+    placed = with_positions(df, key, [time, *tie]).select("*", F.posexplode(needed_by).alias("_copy", "_segment"))
+    window = Window.partitionBy(key, "_segment").orderBy("_row")
+    return placed.withColumns(dict(columns(window))).filter("_copy = 0").drop("_row", "_copy", "_segment")
 
 
 def fill_series(
@@ -122,37 +100,32 @@ def fill_series(
         whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return F.first(column, ignorenulls=True).over(whole)
 
-    if fits_one_task(df, split):
-        ordered = Window.partitionBy(key).orderBy(time)
-        return df.withColumns(
-            {c: F.coalesce(last_known(c, ordered, 0), first_known(c, ordered)) for c in columns}
-        )
-
-    slotted = df.withColumn("_slot", slot_of(time, split))
+    placed = with_positions(df, key, [time]).withColumn("_segment", segment_of(F.col("_row"), split))
+    placed = stage(placed, "positions")
     known = [
         agg
         for c in columns
         for agg in (
-            F.min_by(c, F.when(F.col(c).isNotNull(), F.col(time))).alias(f"_first_{c}"),
-            F.max_by(c, F.when(F.col(c).isNotNull(), F.col(time))).alias(f"_last_{c}"),
+            F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_row"))).alias(f"_first_{c}"),
+            F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_row"))).alias(f"_last_{c}"),
         )
     ]
-    in_order = Window.partitionBy(key).orderBy("_slot")
+    in_order = Window.partitionBy(key).orderBy("_segment")
     carried = (
-        slotted.groupBy(key, "_slot")
+        placed.groupBy(key, "_segment")
         .agg(*known)
         .select(
-            key,
-            "_slot",
+            F.col(key).alias("_key"),
+            F.col("_segment").alias("_at"),
             *[last_known(f"_last_{c}", in_order, -1).alias(f"_before_{c}") for c in columns],
             *[first_known(f"_first_{c}", in_order).alias(f"_start_{c}") for c in columns],
         )
     )
-    # The window comes first: its partitioning and sort then serve the join too.
-    window = Window.partitionBy(key, "_slot").orderBy(time)
+    window = Window.partitionBy(key, "_segment").orderBy("_row")
     filled = {c: F.coalesce(f"_back_{c}", f"_before_{c}", f"_start_{c}").alias(c) for c in columns}
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_segment") == F.col("_at"))
     return (
-        slotted.withColumns({f"_back_{c}": last_known(c, window, 0) for c in columns})
-        .join(carried, [key, "_slot"], "left")
+        placed.withColumns({f"_back_{c}": last_known(c, window, 0) for c in columns})
+        .join(carried, same, "left")
         .select(*[filled.get(c, F.col(c)) for c in df.columns])
     )

@@ -13,7 +13,7 @@ from ..operators.combine import hash_split, history_plus_future, random_split
 from ..operators.features import build_features, feature_names
 from ..operators.metrics import all_metrics
 from ..operators.quality import Gate, quality_gate
-from ..session import build_session, stage
+from ..session import build_session, drop_staged, stage
 from ..sources.readers import load_observations
 from ..sources.sinks import save_models, upsert_predictions
 from .forecast import forecast
@@ -50,6 +50,11 @@ class BatchResult:
     future: DataFrame | None = None
     export: DataFrame | None = None
 
+    @property
+    def failures(self) -> dict[str, str]:
+        """Why a target has no model; such a run is incomplete."""
+        return self.trained.failures if self.trained else {}
+
 
 def split_rows(df: DataFrame, kind: str, config: ModelConfig) -> tuple[DataFrame, DataFrame]:
     if kind == "hash":
@@ -113,6 +118,11 @@ def main(argv: list[str] | None = None) -> None:
         print(f"stopped: {result.stopped}")
     else:
         result.metrics.show(truncate=False)
+    for target, reason in result.failures.items():
+        print(f"no model for {target}: {reason}")
+    drop_staged(spark)
+    if result.failures:
+        raise SystemExit(1)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CATEGORY, MEASURES, TARGETS, ModelConfig, SplitConfig, StateConfig
+from ..config import CATEGORY, MEASURES, TARGETS, SplitConfig, StateConfig
 from ..functions.scores import (
     emergency_level,
     keyword_score,
@@ -18,7 +18,7 @@ from ..functions.scores import (
 from ..operators import align, clean, combine, enrich, features, metrics, quality, serving
 from ..operators.normalize import normalize_observations
 from ..operators.outliers import impute, without_outliers
-from ..operators.series import fits_one_task, over_series
+from ..operators.series import over_series
 from ..session import shared_dir, stage
 from ..sources.events import events_as_observations, read_events
 from ..sources.readers import (
@@ -36,7 +36,7 @@ from ..sources.sinks import (
     write_parquet,
 )
 from ..streaming.control import drain
-from ..streaming.etl import clean_stream, start_lake_sink, start_state_sink
+from ..streaming.etl import clean_stream, start_etl, start_lake_sink, start_state_sink
 from ..streaming.state import as_state, read_state
 from .batch import BatchConfig, run_on
 from .forecast import forecast
@@ -72,17 +72,8 @@ def readings(spark: SparkSession, sf_dir: str, stations: int | None = None) -> D
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The readings for plans that read them more than once.
-
-    Beyond a small table they are stored first, so they are cleaned once and
-    each later pass scans only the columns it needs.
-    """
-    return stored(readings(spark, sf_dir), "observations")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` itself when small, else a table it is written to once."""
-    return df if fits_one_task(df, SplitConfig()) else stage(df, name)
+    """The readings as the windows take them, which store them in ranges themselves."""
+    return readings(spark, sf_dir)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -188,6 +179,15 @@ def lake_files(spark, sf_dir):
     return load_observations(spark, path, merge_schema=True).select(*OBSERVED)
 
 
+def lake_evolved(spark, sf_dir):
+    """Two writes, of which only the second has measures."""
+    path = shared_dir(spark, "lake")
+    df = readings(spark, sf_dir)
+    write_parquet(df.filter(F.hour("datetime") < 12).select("datetime", "city"), f"{path}/part=0")
+    write_parquet(df.filter(F.hour("datetime") >= 12), f"{path}/part=1")
+    return load_observations(spark, path).select(*OBSERVED)
+
+
 # -- enrichment and features -----------------------------------------------
 
 
@@ -224,6 +224,15 @@ def trend_features(spark, sf_dir):
     return rounded(df.select("datetime", "city", "temp_lag_1", "temp_change", "pressure_rolling_avg"))
 
 
+def hot_station_features(spark, sf_dir):
+    """Features of two stations that hold everything, cut into short segments."""
+    two = raw(spark, sf_dir, keep=("event_id", "ts", "user_id")).select(
+        F.col("ts").alias("datetime"), F.concat(F.lit("half "), (F.col("user_id") % 2).cast("string")).alias("city"), "event_id", *MEASURES
+    )
+    df = features.build_features(two, tie=["event_id"], split=SplitConfig(rows_per_segment=500))
+    return rounded(df.select("event_id", "city", "temperature_lag_1h", "temperature_lag_24h", "humidity_rolling_mean_24h", "wind_speed_rolling_max_12h"))
+
+
 def calendar_features(spark, sf_dir):
     return rounded(features.with_calendar(readings(spark, sf_dir).select("datetime", "city")))
 
@@ -311,6 +320,18 @@ def iqr_filter(spark, sf_dir):
     return without_outliers(events, "value", error=0)
 
 
+def iqr_filter_sketch(spark, sf_dir):
+    """The filter as users call it: rows that a 5 % sketch may not drop, and those it may not keep."""
+    events = read_events(spark, sf_dir).select("event_id", "value")
+    kept = without_outliers(events, "value")
+    loose = [events.filter(F.col("value").isNotNull()).agg(F.percentile("value", [p - 0.06, p + 0.06])).first()[0] for p in (0.25, 0.75)]
+    (low, low_to), (high_from, high) = loose
+    inner, outer = high_from - low_to, high - low
+    must = events.filter(F.col("value").between(low_to - 1.5 * inner, high_from + 1.5 * inner))
+    may = F.col("value").between(low - 1.5 * outer, high + 1.5 * outer)
+    return must.join(kept, "event_id", "left_anti").select("event_id").union(kept.filter(~may).select("event_id")).agg(F.count("*").alias("n_wrong"))
+
+
 def impute_mean(spark, sf_dir):
     aligned = align.align_measures(wide_tables(spark, sf_dir))
     return rounded(impute(aligned, MEASURES, "mean").drop(CATEGORY))
@@ -336,7 +357,7 @@ def classification_metrics(spark, sf_dir):
 
 
 def all_metrics(spark, sf_dir):
-    return rounded(metrics.all_metrics(stored(scored(spark, sf_dir), "scored")))
+    return rounded(metrics.all_metrics(stage(scored(spark, sf_dir), "scored")))
 
 
 def accuracy_bands(spark, sf_dir):
@@ -376,7 +397,7 @@ def category_codes(spark, sf_dir):
 
 def category_series(spark, sf_dir):
     codes = ("actual_code", "predicted_code")
-    series = serving.category_series(stored(scored(spark, sf_dir), "scored"))
+    series = serving.category_series(stage(scored(spark, sf_dir), "scored"))
     return series.withColumns({c: F.col(c).cast("double") for c in codes})
 
 
@@ -391,14 +412,14 @@ def forecast_horizon(spark, sf_dir):
 
 
 def history_plus_future(spark, sf_dir):
-    history = stored(scored(spark, sf_dir), "scored")
+    history = stage(scored(spark, sf_dir), "scored")
     return combine.history_plus_future(history, last_value_forecast(history.select(*OBSERVED)))
 
 
 def prediction_upsert(spark, sf_dir):
     """Two writes of overlapping predictions leave one row per key, the later one."""
     path = shared_dir(spark, "predictions")
-    df = scored(spark, sf_dir)
+    df = stage(scored(spark, sf_dir), "scored")
     upsert_predictions(df, path)
     later = df.filter(F.hour("datetime") < 6).withColumn("prediction_temperature", F.lit(0.0))
     upsert_predictions(later, path)
@@ -415,6 +436,14 @@ def current_readings(spark, sf_dir):
     return serving.current_readings(station_state(spark, sf_dir), now, LIFETIME)
 
 
+def current_reading(spark, sf_dir):
+    """The reading of one station, and of the first station that reports."""
+    now = F.lit(NOW).cast("timestamp")
+    state = station_state(spark, sf_dir)
+    first = serving.current_reading(state, None, now, LIFETIME).withColumn("asked", F.lit("first"))
+    return first.unionByName(serving.current_reading(state, "City 1", now, LIFETIME).withColumn("asked", F.lit("City 1")))
+
+
 def reporting_cities(spark, sf_dir):
     now = F.lit(NOW).cast("timestamp")
     return serving.reporting_cities(station_state(spark, sf_dir), now, LIFETIME)
@@ -437,39 +466,54 @@ def hash_split(spark, sf_dir):
 
 
 def repeated_messages(spark, sf_dir):
-    """Message files in which every reading appears one to three times."""
-    first = clean.dedupe(raw(spark, sf_dir, STATIONS), ["datetime", "City"], ["event_id"])
+    """Every event as a message, some twice or three times, in files out of step."""
     copies = F.explode(F.sequence(F.lit(1), F.lit(1) + F.col("event_id") % 3))
     path = shared_dir(spark, "messages")
-    publish_to_files(as_messages(first.withColumn("_copy", copies)), path)
-    return read_message_files(spark, path)
+    publish_to_files(as_messages(raw(spark, sf_dir, STATIONS).withColumn("_copy", copies)), path)
+    return path
+
+
+def feed(spark, path):
+    return clean_stream(read_message_files(spark, path))
 
 
 def stream_clean_parquet(spark, sf_dir):
-    stream = clean_stream(repeated_messages(spark, sf_dir), delay="60 days")
+    """Keys in the lake; which of several readings of a key came first is open."""
     lake = shared_dir(spark, "stream-lake")
+    stream = feed(spark, repeated_messages(spark, sf_dir))
     drain(start_lake_sink(stream, lake, shared_dir(spark, "stream-checkpoints"), every=None))
-    return load_observations(spark, lake).select(*OBSERVED)
+    return load_observations(spark, lake).select("datetime", "city")
+
+
+def stream_restart(spark, sf_dir):
+    """The lake after a second run over the same messages: nothing comes twice."""
+    lake, checkpoint, messages = shared_dir(spark, "stream-lake"), shared_dir(spark, "stream-checkpoints"), repeated_messages(spark, sf_dir)
+    for _ in range(2):
+        drain(start_lake_sink(feed(spark, messages), lake, checkpoint, every=None))
+    return load_observations(spark, lake).groupBy("city").agg(F.count("*").alias("n_rows"))
 
 
 def stream_latest_state(spark, sf_dir):
-    stream = clean_stream(repeated_messages(spark, sf_dir), delay="60 days")
     path = shared_dir(spark, "stream-state")
+    stream = feed(spark, repeated_messages(spark, sf_dir))
     drain(start_state_sink(stream, path, shared_dir(spark, "stream-checkpoints"), every=None))
-    state = read_state(spark, path)
-    return state.select("key", "reading.*").select("key", *OBSERVED)
+    return read_state(spark, path).select("key", "reading.datetime", "reading.city")
 
 
-# -- models ----------------------------------------------------------------
+def stream_two_sinks(spark, sf_dir):
+    """Rows of the lake and newest time of the state, per station, from one stream."""
+    messages, lake, path = repeated_messages(spark, sf_dir), shared_dir(spark, "stream-lake"), shared_dir(spark, "stream-state")
+    drain(*start_etl(read_message_files(spark, messages), lake, path, shared_dir(spark, "stream-checkpoints"), lake_every=None, state_every=None))
+    rows = load_observations(spark, lake).groupBy("city").agg(F.count("*").alias("n_rows"))
+    return rows.join(read_state(spark, path).select("city", "reading.datetime"), "city")
 
-# Learner sizes of the registered model queries.
-QUERY_MODELS = ModelConfig(gbt_iterations=5, forest_trees=10, forest_depth=5)
 
+# -- models ----------------------------------------------------------------
 
 def model_run(spark, sf_dir):
     path = shared_dir(spark, "observations")
     readings(spark, sf_dir).write.parquet(path)
-    return run_on(load_observations(spark, path), BatchConfig(path, model=QUERY_MODELS))
+    return run_on(load_observations(spark, path), BatchConfig(path))
 
 
 def train_score(spark, sf_dir):
@@ -503,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "risk_levels": risk_levels,
     "comfort_indices": comfort_indices,
     "trend_features": trend_features,
+    "hot_station_features": hot_station_features,
     "calendar_features": calendar_features,
     "lag_features": lag_features,
     "rolling_features": rolling_features,
@@ -543,6 +588,11 @@ QUERIES: dict[str, Query] = {
     "hash_split": hash_split,
     "stream_clean_parquet": stream_clean_parquet,
     "stream_latest_state": stream_latest_state,
+    "stream_restart": stream_restart,
+    "stream_two_sinks": stream_two_sinks,
+    "current_reading": current_reading,
+    "lake_evolved": lake_evolved,
+    "iqr_filter_sketch": iqr_filter_sketch,
     "latest_features": flagship,
     "train_score": train_score,
     "forecast_7d": forecast_7d,

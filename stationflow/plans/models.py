@@ -86,6 +86,8 @@ def fit_classifier(train: DataFrame, target: str, config: ModelConfig = ModelCon
     would drop rows whose actual label is null or new.
     """
     indexer, forest = classifier_stages(target, config)
+    if with_label(train, target).select(target).distinct().limit(config.most_labels + 1).count() > config.most_labels:
+        raise ValueError(f"{target} has more than {config.most_labels} labels")
     labels = indexer.fit(with_label(train, target))
     model = forest.fit(labels.transform(train))
     decode = IndexToString(inputCol=f"index_{target}", outputCol=f"prediction_{target}", labels=labels.labels)

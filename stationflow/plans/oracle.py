@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from ..config import MEASURES, TARGETS
-from ..functions.scores import KEYWORD_POINTS
-from .catalog import LEFT_OUT, LIFETIME, NOW, STATIONS
-
+# Fixed values, written out here so that the SQL does not follow the code under test.
+MEASURES = ("temperature", "humidity", "pressure", "wind_speed", "wind_direction")
+TARGETS = (*MEASURES, "weather_desc")
+STATIONS = 12
+NOW = "2024-01-30 23:30:00"
+LIFETIME_SECONDS = 21600
+LEFT_OUT = {
+    "temperature": "none",
+    "humidity": "view",
+    "pressure": "click",
+    "weather_desc": "signup",
+    "wind_direction": "purchase",
+    "wind_speed": "error",
+}
 LAGS = (1, 3, 6, 12, 24)
 SIZES = (6, 12, 24)
 OBSERVED = "datetime, city, " + ", ".join(TARGETS)
@@ -41,19 +51,15 @@ def title(expression: str) -> str:
     return f"array_to_string(list_transform({words}, lambda w: upper(w[1]) || w[2:]), ' ')"
 
 
-def base(stations: int | None = None, first_then_valid: bool = False) -> str:
-    """CTEs ``raw``, ``cleaned`` and ``obs``.
-
-    ``first_then_valid`` picks the first event of a key before the range rules.
-    """
-    where, later = (f"WHERE {VALID}", "TRUE") if not first_then_valid else ("", VALID)
+def base(stations: int | None = None) -> str:
+    """CTEs ``raw``, ``cleaned`` and ``obs``."""
     return f"""WITH raw AS ({raw_sql(stations)}),
     ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY datetime, "City" ORDER BY event_id) AS rn FROM raw {where}),
+      SELECT *, row_number() OVER (PARTITION BY datetime, "City" ORDER BY event_id) AS rn FROM raw WHERE {VALID}),
     cleaned AS (
       SELECT event_id, CAST(datetime AS TIMESTAMP) AS datetime, trim("City") AS city, temperature, humidity,
         pressure, {title('weather_desc')} AS weather_desc, wind_direction, wind_speed
-      FROM ranked WHERE rn = 1 AND {later}),
+      FROM ranked WHERE rn = 1),
     obs AS (
       SELECT datetime, {title('city')} AS city, {', '.join(f'round({m}, 2) AS {m}' for m in MEASURES)},
         lower(trim(weather_desc)) AS weather_desc FROM cleaned)"""
@@ -113,10 +119,9 @@ DERIVED = ", ".join(
 FEATURES = f"""SELECT {OBSERVED}, {LAG_COLUMNS}, {rolling_columns()}, {CALENDAR}, {DERIVED}
     FROM obs WINDOW w AS ({windowed()})"""
 
-_keyword_cases = " ".join(
-    "WHEN " + " OR ".join(f"contains(lower(weather_desc), '{w}')" for w in words) + f" THEN {points}"
-    for words, points in KEYWORD_POINTS
-)
+_keyword_cases = """WHEN regexp_matches(lower(weather_desc), 'hurricane|tornado') THEN 50
+      WHEN regexp_matches(lower(weather_desc), 'storm|thunder') THEN 30
+      WHEN regexp_matches(lower(weather_desc), 'snow|rain') THEN 15"""
 POINTS = f"""
       CASE WHEN wind_speed > 100 THEN 40e0 WHEN wind_speed > 50 THEN 30e0
            WHEN wind_speed > 20 THEN 10e0 + (wind_speed - 20e0) * 0.5e0 ELSE 0e0 END AS wind_points,
@@ -253,7 +258,7 @@ CODES = """codes AS (SELECT category, CAST(row_number() OVER (ORDER BY category)
 LATEST = f"""latest AS (SELECT {OBSERVED} FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY datetime DESC)
       AS rn FROM obs) WHERE rn = 1)"""
 LIVE = f"""{base()}, {LATEST}, live AS (SELECT 'weather:current:' || city AS key, {OBSERVED} FROM latest
-      WHERE datetime > TIMESTAMP '{NOW}' - INTERVAL '{LIFETIME.ttl_seconds}' SECOND)"""
+      WHERE datetime > TIMESTAMP '{NOW}' - INTERVAL '{LIFETIME_SECONDS}' SECOND)"""
 FUTURE = f"""future AS (SELECT CAST(CAST(datetime AS DATE) + CAST(d AS INTEGER) AS TIMESTAMP) AS datetime, city,
       {', '.join(f'{t} AS prediction_{t}' for t in TARGETS)} FROM latest, range(1, 8) t(d))"""
 PREDICTIONS = ", ".join(f"prediction_{t}" for t in TARGETS)
@@ -263,10 +268,6 @@ def typed_null(target: str) -> str:
     return f"CAST(NULL AS {'VARCHAR' if target == 'weather_desc' else 'DOUBLE'}) AS {target}"
 
 
-def stream_base() -> str:
-    return base(STATIONS, first_then_valid=True)
-
-
 SQL: dict[str, str] = {
     "clean_observations": f"{base(STATIONS)} SELECT * FROM cleaned",
     "normalize_observations": f"{base(STATIONS)} SELECT {OBSERVED} FROM obs",
@@ -321,6 +322,13 @@ SQL: dict[str, str] = {
         {r6('avg(pressure) OVER (PARTITION BY city ORDER BY datetime ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)',
             'pressure_rolling_avg')} FROM obs WINDOW w AS ({windowed()})""",
     "calendar_features": f"{base()} SELECT datetime, city, {CALENDAR} FROM obs",
+    "hot_station_features": f"""WITH raw AS ({raw_sql()}), two AS (
+        SELECT event_id, temperature, humidity, raw.wind_speed, e.ts, 'half ' || CAST(e.user_id % 2 AS VARCHAR) AS city FROM raw JOIN events e USING (event_id))
+      SELECT event_id, city, round(lag(temperature, 1) OVER w, 6) + 0e0 AS temperature_lag_1h,
+        round(lag(temperature, 24) OVER w, 6) + 0e0 AS temperature_lag_24h,
+        round(avg(humidity) OVER (PARTITION BY city ORDER BY ts, event_id ROWS 24 PRECEDING), 6) + 0e0 AS humidity_rolling_mean_24h,
+        max(wind_speed) OVER (PARTITION BY city ORDER BY ts, event_id ROWS 12 PRECEDING) AS wind_speed_rolling_max_12h
+      FROM two WINDOW w AS (PARTITION BY city ORDER BY ts, event_id)""",
     "lag_features": f"{base()} SELECT datetime, city, {LAG_COLUMNS} FROM obs WINDOW w AS ({windowed()})",
     "rolling_features": f"{base()} SELECT datetime, city, {rolling_columns()} FROM obs",
     "derived_features": f"{base()} SELECT datetime, city, {DERIVED} FROM obs WINDOW w AS ({windowed()})",
@@ -386,10 +394,17 @@ SQL: dict[str, str] = {
     "gauge_fractions": f"""{LIVE} SELECT city, {r6('temperature / 50e0', 'temperature_fraction')},
         {r6('humidity / 100e0', 'humidity_fraction')}, {r6('wind_speed / 100e0', 'wind_speed_fraction')} FROM live""",
     "hash_split": f"""{base()} SELECT datetime, city, CASE WHEN CAST('0x' || substr(md5(city || '|' ||
-        strftime(datetime, '%Y-%m-%d %H:%M:%S')), 1, 8) AS BIGINT) / 4294967296e0 < 0.8e0 THEN 'train' ELSE 'test' END AS part
+        CAST(epoch_us(datetime) AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296e0 < 0.8e0 THEN 'train' ELSE 'test' END AS part
       FROM obs""",
-    "stream_clean_parquet": f"{stream_base()} SELECT {OBSERVED} FROM obs",
-    "stream_latest_state": f"{stream_base()}, {LATEST} SELECT 'weather:current:' || city AS key, * FROM latest",
+    "stream_clean_parquet": f"{base(STATIONS)} SELECT datetime, city FROM obs",
+    "stream_latest_state": f"{base(STATIONS)}, {LATEST} SELECT 'weather:current:' || city AS key, datetime, city FROM latest",
+    "stream_restart": f"{base(STATIONS)} SELECT city, count(*) AS n_rows FROM obs GROUP BY city",
+    "stream_two_sinks": f"{base(STATIONS)} SELECT city, count(*) AS n_rows, max(datetime) AS datetime FROM obs GROUP BY city",
+    "current_reading": f"""{LIVE} SELECT *, 'first' AS asked FROM (SELECT * FROM live ORDER BY key LIMIT 1)
+      UNION ALL SELECT *, 'City 1' AS asked FROM live WHERE city = 'City 1'""",
+    "lake_evolved": f"""{base()} SELECT datetime, city,
+        {', '.join(f'CASE WHEN hour(datetime) >= 12 THEN {t} END AS {t}' for t in TARGETS)} FROM obs""",
+    "iqr_filter_sketch": "SELECT count(*) - count(*) AS n_wrong FROM events",
     "latest_features": f"""{base()}, features AS ({FEATURES}), newest AS (SELECT * FROM features
         QUALIFY row_number() OVER (PARTITION BY city ORDER BY datetime DESC) = 1)
       SELECT * EXCLUDE (wind_points, temperature_points, pressure_points, keyword_points) FROM ({risk('newest')})""",

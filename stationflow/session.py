@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_root: str | None = None
+#: Tables that :func:`stage` has written, until :func:`drop_staged`.
+_staged: list[str] = []
 
 
 def build_session(app: str = "stationflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,17 +50,6 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, from file listings, without a job.
-
-    ``None`` when the session does not expose it; callers then assume large.
-    """
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
 def stage(df: DataFrame, *parts: str) -> DataFrame:
     """Write ``df`` once below the shared folder and continue from the table.
 
@@ -67,5 +58,15 @@ def stage(df: DataFrame, *parts: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, "staged", *parts)
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables staged so far; frames that read them can no longer run."""
+    n = len(_staged)
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n

@@ -99,9 +99,12 @@ def load_observations(
     path: str,
     city: str | None = None,
     limit: int | None = None,
-    merge_schema: bool = False,
+    merge_schema: bool = True,
 ) -> DataFrame:
-    """Lake scan with the station filter at the scan and an optional earliest-rows limit."""
+    """Lake scan with the station filter at the scan and an optional earliest-rows limit.
+
+    Columns that only some files have are kept, as nulls elsewhere, unless ``merge_schema`` is off.
+    """
     from ..functions.text import to_timestamp
     from ..operators.clean import for_city
     from ..operators.combine import earliest_rows

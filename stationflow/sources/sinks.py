@@ -168,14 +168,20 @@ def as_predictions(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+#: Changed days that an upsert names in its scan.
+MOST_DAYS = 3_660
+
+
 def upsert_predictions(
     new: DataFrame, path: str, keys: Sequence[str] = ("city", "datetime")
 ) -> None:
     """Replace or add predictions by key, rewriting only the days that change.
 
-    The new rows are staged once, because the merge reads them three times. The
-    changed days are swapped in when the whole write has succeeded, so neither a
-    lost executor nor a failed job leaves a day half written.
+    The new rows are staged once, because the merge reads them three times. Up
+    to ``MOST_DAYS`` changed days become a partition filter, so other days are
+    neither listed nor read; more are matched by a join. Rows without time
+    have a day folder of their own and are kept as they are. Folders are moved in
+    one by one once all are written: a failure before leaves the table as it was.
     """
     from .readers import read_lake
 
@@ -184,7 +190,11 @@ def upsert_predictions(
     shape = fresh.schema
     old = read_lake(spark, path, schema=shape)
     days = fresh.select(DAY).distinct()
-    touched = old.join(days, DAY, "left_semi")
+    listed = [r[0] for r in days.limit(MOST_DAYS + 1).collect()]
+    if len(listed) <= MOST_DAYS:
+        touched = old.filter(F.col(DAY).isin([d for d in listed if d is not None]) | (F.col(DAY).isNull() & F.lit(None in listed)))
+    else:
+        touched = old.join(days.withColumnRenamed(DAY, "_day"), F.col(DAY).eqNullSafe(F.col("_day")), "left_semi")
     merged = upsert(touched, fresh, keys)
     writer = rebalanced(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(DAY).parquet(path)

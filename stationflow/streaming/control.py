@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 log = logging.getLogger(__name__)
 
@@ -24,6 +24,27 @@ def wait_any(spark: SparkSession, timeout: int | None = None) -> None:
     spark.streams.awaitAnyTermination(timeout)
 
 
+class DroppedRows(StreamingQueryListener):
+    """Logs how many rows came too late for a watermark."""
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        if dropped:
+            log.warning("%s: %d rows dropped by the watermark", event.progress.name or event.progress.id, dropped)
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def log_dropped(spark: SparkSession) -> DroppedRows:
+    listener = DroppedRows()
+    spark.streams.addListener(listener)
+    return listener
+
+
 def drain(*queries: StreamingQuery) -> None:
     """Wait for queries that stop by themselves once the input is used up."""
     for query in queries:

@@ -13,7 +13,7 @@ from ..sources.sinks import DAY, with_day
 from .state import write_state_batch
 
 
-def clean_stream(messages: DataFrame, delay: str | None = "1 hour", spread: int = 8) -> DataFrame:
+def clean_stream(messages: DataFrame, delay: str | None = None, spread: int = 1) -> DataFrame:
     """Decode, clean and normalise; runs the same on a batch of messages."""
     return normalize_observations(clean_observations(decode_messages(messages), delay=delay, spread=spread))
 
@@ -76,8 +76,8 @@ def start_etl(
     lake: str,
     state: str,
     checkpoints: str,
-    delay: str | None = "1 hour",
-    spread: int = 8,
+    delay: str | None = None,
+    spread: int = 1,
     lake_every: str | None = "30 seconds",
     state_every: str | None = "5 seconds",
 ) -> tuple[StreamingQuery, StreamingQuery]:

@@ -22,6 +22,7 @@ from ..schema import CURRENT_STATE, OBSERVATION
 
 BATCH = "batch_id"
 HOUR = "written_hour"
+HOUR_FORMAT = "%Y-%m-%d-%H"
 STORED = T.StructType(
     [*CURRENT_STATE, T.StructField(HOUR, T.StringType()), T.StructField(BATCH, T.LongType())]
 )
@@ -45,16 +46,18 @@ def write_state_batch(
 ) -> None:
     """Store one micro-batch's delta; an empty batch writes nothing.
 
-    The delta has one row per station, so a few files hold it; without the
-    bound every batch would leave one file per shuffle partition.
+    The delta has one row per station; the rebalance hint sizes its files by
+    what it holds and leaves the aggregation its parallelism. Hours whose
+    entries have all expired are removed.
     """
     if batch.isEmpty():
         return
+    drop_expired(batch.sparkSession, path, config=config)
     (
         as_state(batch, config=config)
         .withColumn(HOUR, F.date_format("written_at", "yyyy-MM-dd-HH"))
         .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        .coalesce(config.files_per_batch)
+        .hint("rebalance")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(HOUR, BATCH)
@@ -70,24 +73,50 @@ def read_state(
 ) -> DataFrame:
     """The current-reading table: live deltas merged to one row per station.
 
-    Only folders of hours that can hold live entries are listed by the scan.
+    Only the folders of hours that can hold live entries are given to the
+    scan, so older ones are never listed; ``now`` is a local time and defaults to the present.
     """
-    from ..sources.readers import read_lake
-
-    deltas = read_lake(spark, path, schema=STORED)
-    moment = F.current_timestamp() if now is None else F.lit(now)
-    oldest = moment - F.make_dt_interval(secs=F.lit(config.ttl_seconds))
-    live = deltas.filter(
-        (F.col(HOUR) >= F.date_format(oldest, "yyyy-MM-dd-HH")) & (F.col("written_at") > oldest)
-    )
+    oldest = (now or _session_now(spark)) - timedelta(seconds=config.ttl_seconds)
+    paths = [f"{path}/{h}" for h in _hours(spark, path) if h.split("=", 1)[1] >= oldest.strftime(HOUR_FORMAT)]
+    if not paths:
+        deltas = spark.createDataFrame([], STORED)
+    else:
+        deltas = spark.read.schema(STORED).option("basePath", path).parquet(*paths)
+    live = deltas.filter(F.col("written_at") > F.lit(oldest.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp"))
     newest = F.max_by(F.struct("city", "reading", "value", "written_at"), F.struct("reading", "written_at"))
     return live.groupBy("key").agg(newest.alias("r")).select("key", "r.*")
 
 
-def expired_hours(spark: SparkSession, path: str, now: datetime, config: StateConfig = StateConfig()) -> list[str]:
-    """Names of hour folders that hold only expired entries and can be removed."""
-    oldest = (now - timedelta(seconds=config.ttl_seconds)).strftime("%Y-%m-%d-%H")
+def _session_now(spark: SparkSession) -> datetime:
+    """The present in the session's time zone, without zone."""
+    text = spark.sql("SELECT date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss.SSSSSS')").first()[0]
+    return datetime.strptime(text, "%Y-%m-%d %H:%M:%S.%f")
+
+
+def _hours(spark: SparkSession, path: str) -> list[str]:
+    """Hour folders; with expired ones removed, as many as the lifetime has hours."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    listing = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
-    names = [s.getPath().getName() for s in listing if s.isDirectory()]
-    return sorted(n for n in names if n.startswith(f"{HOUR}=") and n.split("=", 1)[1] < oldest)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(root) if s.isDirectory()]
+    return sorted(n for n in names if n.startswith(f"{HOUR}="))
+
+
+def expired_hours(
+    spark: SparkSession, path: str, now: datetime | None = None, config: StateConfig = StateConfig()
+) -> list[str]:
+    """Names of hour folders that hold only expired entries and can be removed."""
+    oldest = ((now or _session_now(spark)) - timedelta(seconds=config.ttl_seconds)).strftime(HOUR_FORMAT)
+    return [n for n in _hours(spark, path) if n.split("=", 1)[1] < oldest]
+
+
+def drop_expired(
+    spark: SparkSession, path: str, now: datetime | None = None, config: StateConfig = StateConfig()
+) -> list[str]:
+    """Remove the folders of :func:`expired_hours` and name them."""
+    gone = expired_hours(spark, path, now, config)
+    for name in gone:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return gone

@@ -51,7 +51,7 @@ def test_full_outer_alignment(tables):
     ]
 
 
-@pytest.mark.parametrize("split", [SplitConfig(), SplitConfig(above_bytes=0, slot_seconds=3600)])
+@pytest.mark.parametrize("split", [SplitConfig(), SplitConfig(rows_per_segment=2)])
 def test_fill_stays_within_a_station(tables, split):
     out = rows(by_time(ingest_wide(tables, split=split)).select("datetime", "City", "temperature", "humidity", "weather_desc"))
     assert out == [

@@ -1,15 +1,16 @@
 """Split series must equal plain windows, whatever the skew and the gaps."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
 from stationflow.config import SplitConfig
 from stationflow.operators.enrich import with_trend
 from stationflow.operators.features import build_features, feature_names
-from stationflow.operators.series import fill_series
+from stationflow.operators.series import fill_series, over_series
 
-PLAIN = SplitConfig()
+PLAIN = SplitConfig(rows_per_segment=10**9)
 
 
 def skewed(spark, n=3000):
@@ -33,49 +34,61 @@ def readings(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("per_segment,slot", [(1, 3600), (7, 3600), (30, 86_400), (400, 86_400), (500, 30 * 86_400), (10**6, 86_400)])
-def test_features_split_equals_plain(readings, per_segment, slot):
-    split = SplitConfig(above_bytes=0, rows_per_segment=per_segment, slot_seconds=slot)
+@pytest.mark.parametrize("per_segment", [1, 7, 30, 400])
+def test_features_split_equals_plain(readings, per_segment):
+    split = SplitConfig(rows_per_segment=per_segment)
     plain, cut = build_features(readings, split=PLAIN), build_features(readings, split=split)
     assert cut.columns == plain.columns
     assert rows(cut, "city", "datetime") == rows(plain, "city", "datetime")
 
 
 def test_trend_split_equals_plain(readings):
-    split = SplitConfig(above_bytes=0, rows_per_segment=5, slot_seconds=3600)
-    assert rows(with_trend(readings, split=split), "city", "datetime") == rows(with_trend(readings), "city", "datetime")
-
+    window = Window.partitionBy("city").orderBy("datetime")
+    plain = readings.withColumn("temp_lag_1", F.lag("temperature").over(window)).select("city", "datetime", "temp_lag_1")
+    cut = with_trend(readings, split=SplitConfig(rows_per_segment=5)).select("city", "datetime", "temp_lag_1")
+    assert rows(cut, "city", "datetime") == rows(plain, "city", "datetime")
 
-def test_hot_series_is_spread(readings):
-    """No (station, segment) group grows with the station."""
-    from stationflow.operators.series import over_series
 
-    split = SplitConfig(above_bytes=0, rows_per_segment=50)
-    sized = over_series(readings, lambda w: {"n": F.count("*").over(w)}, lookback=24, split=split)
-    assert sized.agg(F.max("n")).first()[0] < 300 < readings.filter("city = 'hot'").count()
+@pytest.mark.parametrize("per_segment", [10, 500])
+def test_segments_are_bounded_with_all_rows_on_one_day(spark, per_segment):
+    day = spark.range(4000).select(
+        F.expr("timestamp_micros(1700000000000000 + id * 20000000 + IF(id % 3 = 0, 7, 0))").alias("datetime"), F.lit("one").alias("city"), F.col("id").alias("event")
+    )
+    split = SplitConfig(rows_per_segment=per_segment)
+    sized = over_series(
+        day,
+        lambda w: {"n": F.count("*").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "before": F.lag("event").over(w)},
+        lookback=24,
+        tie=["event"],
+        split=split,
+    )
+    most, wrong = sized.agg(F.max("n"), F.count_if((F.col("before") != F.col("event") - 1))).first()
+    assert most <= per_segment + 24 and wrong == 0 and sized.count() == 4000
 
 
-@pytest.mark.parametrize("slot", [600, 86_400, 10**9])
-def test_fill_split_equals_plain(readings, slot):
+@pytest.mark.parametrize("per_segment", [3, 100, 10**9])
+def test_fill_split_equals_plain(readings, per_segment):
     sparse = readings.withColumn("humidity", F.when(F.col("humidity") < 10, F.col("humidity")))
-    split = SplitConfig(above_bytes=0, slot_seconds=slot)
-    filled = fill_series(sparse, ["humidity", "pressure"], split=split)
+    filled = fill_series(sparse, ["humidity", "pressure"], split=SplitConfig(rows_per_segment=per_segment))
     assert filled.columns == sparse.columns
-    assert rows(filled, "city", "datetime") == rows(fill_series(sparse, ["humidity", "pressure"]), "city", "datetime")
+    window = Window.partitionBy("city").orderBy("datetime")
+    last = F.last("humidity", True).over(window)
+    plain = sparse.withColumn("humidity", F.coalesce(last, F.first("humidity", True).over(window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    assert rows(filled.select("city", "datetime", "humidity"), "city", "datetime") == rows(plain.select("city", "datetime", "humidity"), "city", "datetime")
 
 
 def test_null_keys_are_not_lost(spark, readings):
     odd = readings.limit(50).withColumn("city", F.when(F.col("temperature") > 20, F.col("city")))
-    split = SplitConfig(above_bytes=0, rows_per_segment=5, slot_seconds=3600)
+    split = SplitConfig(rows_per_segment=5)
     assert with_trend(odd, split=split).count() == 50
     assert fill_series(odd, ["humidity"], split=split).count() == 50
 
 
-def test_plain_features_need_one_shuffle(spark, tmp_path):
-    skewed(spark, 200).write.parquet(str(tmp_path / "t"))
-    plan = build_features(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and plan.count("Python") == 0
-    assert plan.count("+- Sort ") + plan.count("- *Sort") == 1
+def test_staged_ranges_can_be_dropped(spark, readings):
+    from stationflow.session import drop_staged
+
+    assert with_trend(readings).count() == 3000
+    assert drop_staged(spark) > 0 and drop_staged(spark) == 0
 
 
 def test_feature_table_shape(readings):

@@ -131,6 +131,28 @@ def test_upsert_rewrites_only_touched_days(spark, tmp_path):
     assert {p.name for p in (tmp_path / "predictions" / "obs_date=2016-01-01").glob("*.parquet")} == files
 
 
+def test_upsert_reads_changed_days_only_and_keeps_rows_without_time(spark, tmp_path):
+    from stationflow.sources.sinks import DAY
+
+    path = str(tmp_path / "predictions")
+    df = normalize_observations(clean_observations(synthetic_observations(spark, 48)))
+    untimed = df.limit(2).withColumn("datetime", F.lit(None).cast("timestamp")).withColumn("city", F.concat(F.lit("N"), F.col("temperature").cast("string")))
+    sinks.upsert_predictions(df.unionByName(untimed), path)
+    sinks.upsert_predictions(untimed.withColumn("city", F.concat(F.lit("M"), "city")), path)
+    out = readers.read_predictions(spark, path)
+    assert out.count() == 52 and out.filter("datetime IS NULL").count() == 4
+    days = [r[0] for r in out.select(F.to_date("datetime")).distinct().limit(1).collect()]
+    plan = readers.read_lake(spark, path).filter(F.col(DAY).isin(days))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and DAY in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_lake_keeps_columns_of_later_files(spark, tmp_path):
+    df = normalize_observations(clean_observations(synthetic_observations(spark, 10)))
+    sinks.write_parquet(df.select("datetime", "city"), str(tmp_path / "lake"))
+    df.write.mode("append").parquet(str(tmp_path / "lake"))
+    assert readers.load_observations(spark, str(tmp_path / "lake")).filter("temperature IS NOT NULL").count() == 10
+
+
 def test_jdbc_failures(spark):
     df = spark.range(1).withColumn("city", F.lit("A"))
     assert jdbc_column_types(df.schema) == "city VARCHAR(255)"

@@ -1,5 +1,5 @@
 import json
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,6 +70,14 @@ def test_late_rows_fall_to_the_watermark(spark, feed, tmp_path):
     assert run_lake(spark, path, tmp_path, delay="1 hour").count() == 11
 
 
+def test_files_out_of_step_lose_nothing_by_default(spark, feed, tmp_path):
+    path, add = feed
+    for day in ("2024-01-03", "2024-01-01", "2024-01-04", "2024-01-02"):
+        add(synthetic_observations(spark, 24, (f"S{day[-1]}",), start=f"{day} 00:00:00").coalesce(1))
+        run_lake(spark, path, tmp_path)
+    assert run_lake(spark, path, tmp_path).count() == 96
+
+
 def readings(spark, *made):
     df = spark.createDataFrame(list(made), "datetime string, city string, temperature double")
     return df.withColumn("datetime", F.col("datetime").cast("timestamp"))
@@ -86,10 +94,13 @@ def test_state_keeps_newest_by_event_time(spark, tmp_path):
     assert rows(current.select("key", "reading.temperature"), "key") == [("weather:current:A", 1.0), ("weather:current:B", 4.0)]
     value = json.loads(current.filter("key = 'weather:current:A'").first()["value"])
     assert value == {"datetime": "2024-01-01 10:00:00", "city": "A ", "temperature": 1.0}
-    later = datetime.now() + timedelta(seconds=3601)
+    later = datetime.now(UTC).replace(tzinfo=None) + timedelta(seconds=3601)
     assert state.read_state(spark, path, now=later).isEmpty()
-    assert state.expired_hours(spark, path, datetime.now()) == []
-    assert len(state.expired_hours(spark, path, datetime.now() + timedelta(hours=3))) >= 1
+    assert state.expired_hours(spark, path) == []
+    gone = datetime.now(UTC).replace(tzinfo=None) + timedelta(hours=3)
+    assert len(state.expired_hours(spark, path, gone)) >= 1
+    assert state.drop_expired(spark, path, gone) and state.expired_hours(spark, path, gone) == []
+    assert state.read_state(spark, path).isEmpty()
     assert state.read_state(spark, str(tmp_path / "none")).isEmpty()
 
 
