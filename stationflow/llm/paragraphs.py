@@ -193,7 +193,7 @@ def _against_first(groups: DataFrame, sets: DataFrame, similarity: float, name:
     return members.join(checked, ["hash", "first"])
 
 
-def links(distinct: DataFrame, docs: DataFrame, places: DataFrame, bands: int, similarity: float) -> DataFrame:
+def links(distinct: DataFrame, docs: DataFrame, places: DataFrame, bands: int, similarity: float, recall: float = RECALL) -> DataFrame:
     """Edges ``a, b`` between distinct paragraphs."""
     keyed_rows = distinct.select("hash", F.explode(F.array(*[f"k{j}" for j in range(bands)])).alias("key"))
     shared = keyed_rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
@@ -210,7 +210,7 @@ def links(distinct: DataFrame, docs: DataFrame, places: DataFrame, bands: int, s
     # Whoever shares a group with a paragraph that failed may be its partner.
     open_groups = shallow.where("not same").select("key").distinct()
     again = groups.join(open_groups, "key", "left_semi").select("hash").distinct()
-    deep = stored(deep_keys(sets.join(again, "hash", "left_semi"), bands_for(DEEP, similarity)).distinct(), "deep")
+    deep = stored(deep_keys(sets.join(again, "hash", "left_semi"), bands_for(DEEP, similarity, recall)).distinct(), "deep")
     second = _against_first(deep, sets, similarity, "second")
     edges = edges.union(second.where("same").select(F.col("hash").alias("a"), F.col("first").alias("b")))
     failed = second.where("not same").select("key", F.col("hash").alias("a")).join(sets.select(F.col("hash").alias("a"), F.col("shingles").alias("x")), "a")
@@ -233,7 +233,7 @@ def duplicate_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, recall
     places = stored(sketches(docs, bands).withColumn("id", F.xxhash64("doc_id", "th", "number")), "paragraphs")
     keys = [F.min(f"k{j}").alias(f"k{j}") for j in range(bands)]
     distinct = stored(places.groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("rep"), F.max("id").alias("other"), *keys), "distinct")
-    found = components(links(distinct.select("hash", "rep", *[f"k{j}" for j in range(bands)]), docs, places.select("hash", "id", "doc_id", "th", "number"), bands, similarity))
+    found = components(links(distinct.select("hash", "rep", *[f"k{j}" for j in range(bands)]), docs, places.select("hash", "id", "doc_id", "th", "number"), bands, similarity, recall))
     rooted = distinct.join(found.toDF("hash", "root"), "hash", "left").where("root is not null or rep < other")
     rooted = stored(rooted.select("hash", F.coalesce("root", "hash").alias("class_id")), "classes")
     members = stored(places.join(rooted, "hash").select("doc_id", "th", "number", "class_id").distinct(), "members")
