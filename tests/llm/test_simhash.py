@@ -1,0 +1,79 @@
+import random
+import re
+
+import numpy as np
+import xxhash
+from pyspark.sql import functions as F
+
+from stationflow.llm import simhash_dedup
+from stationflow.llm.components import components
+
+
+def plain(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = re.findall("[^\x20\x09-\x0d]+", lower)
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    value = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def test_fingerprints(sf_dir, spark):
+    texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40).collect()]
+    for text in [*texts, "", " \n", "One", "one TWO", "É É É", "a\x0bb\x1cc   d"]:
+        assert simhash_dedup.fingerprint(text) == plain(text)
+
+
+def groups(values):
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2:
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return {v: find(v) for v in values}
+
+
+def test_classes_equal_brute_force(spark):
+    draw = random.Random(1)
+    values = {0, -1, 1 << 62, -(1 << 63)}
+    for _ in range(60):
+        v = draw.getrandbits(64)
+        for _ in range(draw.randrange(1, 8)):
+            for _ in range(draw.randrange(4)):
+                v ^= 1 << draw.randrange(64)
+            values.add(v - (1 << 64) if v >> 63 else v)
+    values = sorted(values)
+    found = {r["fp"]: r["root"] for r in simhash_dedup.classes(spark.createDataFrame([(v,) for v in values], "fp bigint")).collect()}
+    want = groups(values)
+    assert {v: found.get(v, v) for v in values} == want and len(set(want.values())) < len(values)
+
+
+def test_codes_are_perfect():
+    draw = np.random.default_rng(1)
+    for code, low in simhash_dedup.Anchors().codes:
+        words = draw.integers(0, 1 << code.bits, 2000).astype(np.uint64)
+        homes = code.home(words)
+        assert np.bitwise_count(words ^ homes).max() <= (3 if code.bits == 23 else 1)
+        assert (code.home(homes) == homes).all() and low in (0, 23, 46)
+
+
+def test_components_of_a_chain_a_star_and_loops(spark):
+    edges = [(i, i + 1) for i in range(50)] + [(100 + i, 100) for i in range(1, 60)] + [(7, 7), (300, 301), (301, 300), (None, 4)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert found == {i: 0 for i in range(51)} | {100 + i: 100 for i in range(60)} | {300: 300, 301: 300}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).isEmpty()
+
+
+def test_one_of_each_class_stays(spark):
+    docs = spark.createDataFrame([(None, "a b c d"), (5, "a b c d"), (3, "A B C D"), (3, "a b c d"), (9, "e f g h"), (10, None), (11, "")], "doc_id int, text string")
+    assert sorted(r["doc_id"] for r in simhash_dedup.keep_one(docs).collect()) == [3, 9, 10]
+    found = simhash_dedup.near_duplicates(docs)
+    assert found.where("component_id = 3").count() == 4 and found.where(F.col("fingerprint") == "0" * 16).count() == 2
