@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from stationflow.llm.common import rows_of
 from stationflow.llm.words import SHINGLE, shingles, word_hashes
@@ -127,6 +127,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     context = docs.sparkSession.sparkContext
     doc_kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {doc_kind}, item_id {item_kind}, similarity double, first_word bigint, n_words bigint"
+    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     out = None
     for block in blocks_of(benchmark):
         items = context.broadcast(block)
@@ -140,10 +141,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
                         rows.append(row)
                         found.append((item_id, *match))
                 columns = list(zip(*found)) if found else [()] * 4
-                kinds = (batch.schema.field("doc_id").type, None, pa.float64(), pa.int64(), pa.int64())
+                kinds = (item_type, pa.float64(), pa.int64(), pa.int64())
                 if found:
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(pa.array(rows, "int64")), *(pa.array(c, k) for c, k in zip(columns, kinds[1:]))],
+                        [batch.column("doc_id").take(pa.array(rows, "int64")), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
                         ["doc_id", "item_id", "similarity", "first_word", "n_words"],
                     )
 
