@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.session import shared_dir
+from stationflow.session import stage
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,10 +20,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below the shared folder and read back.
 
     Cuts lineage: a lost executor costs no recomputation of what lies before.
+    ``stationflow.session.drop_staged`` deletes these tables after a run.
     """
-    path = shared_dir(df.sparkSession, "llm", name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stage(df, "llm", name)
 
 
 def own_name() -> str:
