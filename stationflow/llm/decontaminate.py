@@ -1,14 +1,14 @@
 """Benchmark decontamination by fingerprints of item-sized windows.
 
-For every benchmark item the windows of its length slide over each document. A
-window's SimHash over 5-word shingles is looked up in eight 8-bit blocks of the
+For every benchmark item the windows of its length slide over each document; a
+shorter document is one window as a whole. A window's SimHash over 5-word shingles is looked up in eight 8-bit blocks of the
 items' fingerprints; a block matches with two differing bits or fewer, so every
 item within 23 bits is found. Weighted Jaccard similarity over the counted
 shingles then decides.
 
 Fingerprints are only made of windows that hold enough shingles of any item:
-at similarity ``s`` two texts of ``m`` shingles share ``2sm / (1 + s)`` of them,
-so this loses nothing. The benchmark is a stated query set: it goes to the
+at similarity ``s`` texts of ``m`` and ``n`` shingles share ``s(m + n) / (1 + s)`` of
+them, so this loses nothing. The benchmark is a stated query set: it goes to the
 executors in blocks of bounded size, and documents are never shuffled.
 """
 
@@ -83,12 +83,14 @@ class Index:
         hit[maybe + 1] = 1
         total = np.cumsum(hit)
         for m, own in self.items.items():
-            if m > len(found):
+            # A document shorter than the item is one window, if it can be similar at all.
+            size = min(m, len(found))
+            if size < self.similarity * m - 1e-9:
                 continue
-            least = math.ceil(2 * self.similarity * m / (1 + self.similarity) - 1e-9)
+            least = math.ceil(self.similarity * (size + m) / (1 + self.similarity) - 1e-9)
             prints, tables = self.tables[m]
-            for at in np.nonzero(total[m:] - total[:-m] >= least)[0].tolist():
-                window = found[at : at + m]
+            for at in np.nonzero(total[size:] - total[:-size] >= least)[0].tolist():
+                window = found[at : at + size]
                 own_print = majority(window)
                 near = np.zeros(len(own), bool)
                 for block in range(8):
@@ -99,7 +101,7 @@ class Index:
                     item_id, shingled, _ = own[i]
                     s = weighted_jaccard(counted, shingled)
                     if s >= self.similarity and s > out.get(item_id, (0,))[0]:
-                        out[item_id] = s, at, m + SHINGLE - 1
+                        out[item_id] = s, at, size + SHINGLE - 1
         return out
 
 

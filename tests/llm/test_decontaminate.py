@@ -52,3 +52,26 @@ def test_no_items(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id int, text string")
     none = spark.createDataFrame([], "item_id int, text string")
     assert d.contaminated(docs, none).isEmpty() and d.keep_clean(docs, none).count() == 1
+
+
+def test_documents_shorter_than_the_item(spark):
+    """Against brute force with the whole document as the window where it is shorter."""
+    items = [(i, sentence(300 + i, n)) for i, n in enumerate((15, 15, 40, 60, 60))]
+    docs = []
+    for i, text in items:
+        words = text.split()
+        for cut in range(1, 16):
+            docs.append((len(docs), " ".join(words[:-cut])))
+            docs.append((len(docs), " ".join(words[cut // 2 : len(words) - cut // 3])))
+            docs.append((len(docs), " ".join(w for j, w in enumerate(words) if j != 3 * cut)))
+    items, docs = spark.createDataFrame(items, "item_id int, text string"), spark.createDataFrame(docs, "doc_id int, text string")
+    shingles = lambda text: d.Counter(d.shingles_of(text).tolist())
+    want = {}
+    for doc_id, text in docs.collect():
+        for item_id, item in items.collect():
+            if len(text.split()) < len(item.split()) and (s := d.weighted_jaccard(shingles(text), shingles(item))) >= 0.8:
+                want[doc_id, item_id] = (round(s, 9), 0, len(text.split()))
+    got = {(r["doc_id"], r["item_id"]): (round(r["similarity"], 9), r["first_word"], r["n_words"]) for r in d.contaminated(docs, items).collect()}
+    assert want and {k: v for k, v in got.items() if v[2] < (15, 15, 40, 60, 60)[k[1]]} == want
+    clean = {r["doc_id"] for r in d.keep_clean(docs, items).collect()}
+    assert not clean & {doc_id for doc_id, _ in want}
