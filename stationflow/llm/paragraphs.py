@@ -216,8 +216,8 @@ def links(distinct: DataFrame, docs: DataFrame, places: DataFrame, bands: int, s
     failed = second.where("not same").select("key", F.col("hash").alias("a")).join(sets.select(F.col("hash").alias("a"), F.col("shingles").alias("x")), "a")
     others = deep.select("key", F.col("hash").alias("b")).join(second.where("not same").select("key").distinct(), "key", "left_semi")
     others = others.join(sets.select(F.col("hash").alias("b"), F.col("shingles").alias("y")), "b").withColumnRenamed("key", "of")
-    rest = failed.join(others, (F.col("key") == F.col("of")) & (F.col("a") < F.col("b")) & _alike(similarity))
-    return edges.union(rest.select("a", "b")).distinct()
+    rest = failed.join(others, (F.col("key") == F.col("of")) & (F.col("a") != F.col("b")) & _alike(similarity))
+    return edges.union(rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct()
 
 
 def duplicate_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:

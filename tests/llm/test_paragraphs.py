@@ -75,3 +75,24 @@ def test_shuffled_places_give_the_same(spark, monkeypatch):
     one = sorted(map(tuple, p.duplicate_paragraphs(docs).collect()))
     monkeypatch.setattr(p, "BROADCAST_ROWS", -1)
     assert sorted(map(tuple, p.duplicate_paragraphs(docs).collect())) == one and len(one) == 9
+
+
+def test_a_failed_member_meets_those_that_passed(spark, monkeypatch):
+    """In a group f < b < a, b is like f and like a, but a is not like f; one deep band holds all three."""
+    from pyspark.sql import functions as F
+
+    for seed in range(200):
+        base = [f"v{seed}x{i}" for i in range(40)]
+        f, b, a = base, [f"s{seed}", *base[1:]], [f"s{seed}", *base[1:-4], "t", *base[-3:]]
+        texts = [" ".join(w) for w in (f, b, a)]
+        hashes = [int(p.Sketcher(0).paragraphs(t.encode())[1][0]) for t in texts]
+        if hashes[0] < hashes[1] < hashes[2] and similar(f, b) and similar(b, a) and not similar(f, a):
+            break
+    else:
+        raise AssertionError("no seed gives the order")
+    monkeypatch.setattr(p, "deep_keys", lambda sets, bands: sets.select(F.lit(1).cast("long").alias("key"), "hash"))
+    docs = p.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    places = p.sketches(docs, 1).withColumn("id", F.xxhash64("doc_id", "th", "number"))
+    distinct = places.select("hash", F.col("id").alias("rep"), F.lit(7).cast("long").alias("k0"))
+    found = {(r["a"], r["b"]) for r in p.links(distinct, docs, places.select("hash", "id", "doc_id", "th", "number"), 1, 0.8).collect()}
+    assert {frozenset(e) for e in found} == {frozenset(hashes[:2]), frozenset(hashes[1:])}
