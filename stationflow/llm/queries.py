@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import chat, decontaminate, line_dedup, packing, paragraphs, quality, simhash_dedup, suffix_dedup, topk, toxicity
+from stationflow.llm import chat, decontaminate, line_dedup, packing, paragraphs, phrases, quality, simhash_dedup, suffix_dedup, topk, toxicity
 from stationflow.llm.common import table
 
 
@@ -65,8 +65,26 @@ def op10_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return paragraphs.duplicate_paragraphs(table(spark, folder, "documents"))
 
 
+def op13_setm_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 strongest collocations of every language."""
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_binary_packing, op2_suffix_arrays, op3_simhash_covering, op4_nb_ngram_toxicity, op5_rule_quality, op6_voronoi_topk, op7_fuzzy_lines, op8_perspective_rotation, op9_simhash_windows, op10_paragraph_minhash)
+    f.__name__: f
+    for f in (
+        op1_binary_packing,
+        op2_suffix_arrays,
+        op3_simhash_covering,
+        op4_nb_ngram_toxicity,
+        op5_rule_quality,
+        op6_voronoi_topk,
+        op7_fuzzy_lines,
+        op8_perspective_rotation,
+        op9_simhash_windows,
+        op10_paragraph_minhash,
+        op13_setm_phrases,
+    )
 }
 SQL: dict[str, str] = {
     "op8_perspective_rotation": r"""
@@ -98,4 +116,32 @@ SQL: dict[str, str] = {
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    "op13_setm_phrases": r"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        split AS (
+          SELECT row_number() OVER () AS piece_id, lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces),
+        w1 AS (SELECT piece_id, lang, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM split WHERE len(words) > 0),
+        w3 AS (SELECT lang, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM w1 WINDOW o AS (PARTITION BY piece_id ORDER BY pos)),
+        n AS (SELECT lang, CAST(count(*) AS BIGINT) AS n FROM w1 GROUP BY lang),
+        f1 AS (SELECT lang, w, count(*) AS f FROM w3 GROUP BY ALL),
+        f2 AS (SELECT lang, w, w2, count(*) AS f FROM w3 WHERE w2 IS NOT NULL GROUP BY ALL),
+        f3 AS (SELECT lang, w, w2, w3, count(*) AS f FROM w3 WHERE w3 IS NOT NULL GROUP BY ALL),
+        cuts AS (
+          SELECT f2.lang, f2.w || ' ' || f2.w2 AS phrase, f2.f AS a, 1 AS k, p.f AS l, q.f AS r
+          FROM f2 JOIN f1 p ON p.lang = f2.lang AND p.w = f2.w JOIN f1 q ON q.lang = f2.lang AND q.w = f2.w2 WHERE f2.f >= 10
+            AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.w = f2.w AND f3.w2 = f2.w2 AND f3.f >= 10 AND 100 * f3.f >= 50 * f2.f)
+            AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.w2 = f2.w AND f3.w3 = f2.w2 AND f3.f >= 10 AND 100 * f3.f >= 50 * f2.f)
+          UNION ALL
+          SELECT f3.lang, f3.w || ' ' || f3.w2 || ' ' || f3.w3, f3.f, 1, p.f, q.f
+          FROM f3 JOIN f1 p ON p.lang = f3.lang AND p.w = f3.w JOIN f2 q ON q.lang = f3.lang AND q.w = f3.w2 AND q.w2 = f3.w3 WHERE f3.f >= 10
+          UNION ALL
+          SELECT f3.lang, f3.w || ' ' || f3.w2 || ' ' || f3.w3, f3.f, 2, p.f, q.f
+          FROM f3 JOIN f2 p ON p.lang = f3.lang AND p.w = f3.w AND p.w2 = f3.w2 JOIN f1 q ON q.lang = f3.lang AND q.w = f3.w3 WHERE f3.f >= 10),
+        scored AS (SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank FROM lowest)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+    """,
 }
