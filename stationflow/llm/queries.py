@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import chat, decontaminate, line_dedup, packing, paragraphs, phrases, quality, simhash_dedup, suffix_dedup, topk, toxicity
+from stationflow.llm import ann, chat, decontaminate, line_dedup, packing, paragraphs, phrases, quality, simhash_dedup, suffix_dedup, topk, toxicity
 from stationflow.llm.common import table
 
 
@@ -65,6 +65,11 @@ def op10_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return paragraphs.duplicate_paragraphs(table(spark, folder, "documents"))
 
 
+def op11_hnsw_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 nearest rows found for every fiftieth vector among all vectors."""
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op13_setm_phrases(spark: SparkSession, folder: str) -> DataFrame:
     """The 2000 strongest collocations of every language."""
     return phrases.collocations(table(spark, folder, "documents"))
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_perspective_rotation,
         op9_simhash_windows,
         op10_paragraph_minhash,
+        op11_hnsw_shards,
         op13_setm_phrases,
     )
 }
