@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import ann, chat, decontaminate, line_dedup, packing, paragraphs, phrases, quality, simhash_dedup, suffix_dedup, topk, toxicity
+from stationflow.llm import ann, chat, decontaminate, hard_negatives, line_dedup, packing, paragraphs, phrases, quality, simhash_dedup, suffix_dedup, topk, toxicity
 from stationflow.llm.common import table
 
 
@@ -70,6 +70,12 @@ def op11_hnsw_shards(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_bond_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of other labels that every hundredth vector scores almost as high as its own label's best."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def op13_setm_phrases(spark: SparkSession, folder: str) -> DataFrame:
     """The 2000 strongest collocations of every language."""
     return phrases.collocations(table(spark, folder, "documents"))
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_simhash_windows,
         op10_paragraph_minhash,
         op11_hnsw_shards,
+        op12_bond_negatives,
         op13_setm_phrases,
     )
 }
@@ -150,4 +157,21 @@ SQL: dict[str, str] = {
         ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank FROM lowest)
         SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
     """,
+    "op12_bond_negatives": """
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+          SELECT q.vec_id AS anchor_id, c.vec_id AS vec_id, q.label = c.label AS same,
+            CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (
+          SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+            CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+          FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+    """,
 }
