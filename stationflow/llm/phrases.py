@@ -26,9 +26,8 @@ from stationflow.llm.common import stored
 from stationflow.session import shared_dir
 
 SEGMENT = 1024
-#: What separates pieces, and words of a piece.
+#: What separates pieces.
 PIECE_END = r"[.,;:!?\x0A-\x0D]"
-WORD_END = r"[\x20\x09]+"
 #: Most phrases of a table that is sent to every executor, and most bytes of their text.
 MOST_SENT, MOST_SENT_BYTES = 2_000_000, 64_000_000
 #: Occurrences of a bucket; the session's shuffle partitions are the least number of buckets.
@@ -37,16 +36,22 @@ _PLACE_BITS = 33
 
 
 def segments(docs: DataFrame, longest: int) -> DataFrame:
-    """``lang, words``: words of every segment, and the ``longest - 1`` words that follow it."""
-    lowered = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    pieces = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.explode(F.split(lowered, PIECE_END)).alias("piece"))
-    words = pieces.select("lang", F.filter(F.split("piece", WORD_END), lambda w: w != "").alias("words"))
+    """``lang, words``: words of every segment as they are written, and the ``longest - 1`` words that follow it."""
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("\t"), F.lit(" "))
+    pieces = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.explode(F.split(text, PIECE_END)).alias("piece"))
+    # A single character to split at needs no regular expression.
+    words = pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("words"))
     begins = F.when(F.size("words") > 0, F.sequence(F.lit(1), F.size("words"), F.lit(SEGMENT)))
     return words.select("lang", "words", F.explode(begins).alias("begin")).select(
         "lang", F.slice("words", F.col("begin"), F.lit(SEGMENT + longest - 1)).alias("words")
     )
 
 
+def lowered(word: str) -> Column:
+    """``word`` with A to Z in lower case."""
+    return F.translate(word, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """``df`` stored with ``id``: its place, from 0, by falling ``f``; frequent phrases have small numbers."""
     placed = stored(df.orderBy(F.desc("f")).withColumn("_place", F.monotonically_increasing_id()), name)
@@ -142,22 +147,26 @@ def collocations(docs: DataFrame, least: int = 10, longest: int = 3, share: int
     spark = docs.sparkSession
     docs = docs.select("lang", "text")
     own = F.slice("words", 1, SEGMENT)
-    each = segments(docs, longest).select("lang", F.explode(own).alias("text"))
-    counted = stored(each.groupBy("lang", "text").agg(F.count("*").alias("f")), "words")
-    totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
+    each = segments(docs, longest).select("lang", F.explode(own).alias("written"))
+    # Only distinct words are lower-cased.
+    spelled = each.groupBy("lang", "written").agg(F.count("*").alias("f")).withColumn("text", lowered("written"))
+    spelled = stored(spelled, "spellings")
+    counted = spelled.groupBy("lang", "text").agg(F.sum("f").alias("f"))
+    totals = spelled.groupBy("lang").agg(F.sum("f").alias("n"))
     none = F.array().cast("array<bigint>")
     frequent = counted.where(F.col("f") >= least).select("lang", "text", F.col("text").alias("last"), "f", none.alias("heads"), none.alias("tails"))
     known = numbered(frequent, "frequent-words")
+    spellings = stored(spelled.join(known.select("lang", "text", F.col("id").alias("phrase")), ["lang", "text"]).select("lang", "written", "phrase"), "codes")
 
     coded = (
         segments(docs, longest)
         .where(F.size("words") > 1)
         .withColumn("segment", F.monotonically_increasing_id())
-        .select("lang", "segment", F.posexplode("words").alias("at", "text"))
-        .join(_small(known.select("lang", "text", F.col("id").alias("phrase")), "text"), ["lang", "text"])
+        .select("lang", "segment", F.posexplode("words").alias("at", "written"))
+        .join(_small(spellings, "written"), ["lang", "written"])
         .select("segment", "at", "phrase")
     )
-    words = counted.agg(F.sum("f")).first()[0] or 0
+    words = totals.agg(F.sum("n")).first()[0] or 0
     buckets = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // BUCKET_ROWS))
     occurrences = Occurrences(coded, buckets)
     found = []
