@@ -76,7 +76,7 @@ def read_state(
     Only the folders of hours that can hold live entries are given to the
     scan, so older ones are never listed; ``now`` is a local time and defaults to the present.
     """
-    oldest = (now or _session_now(spark)) - timedelta(seconds=config.ttl_seconds)
+    oldest = (now or session_now(spark)) - timedelta(seconds=config.ttl_seconds)
     paths = [f"{path}/{h}" for h in _hours(spark, path) if h.split("=", 1)[1] >= oldest.strftime(HOUR_FORMAT)]
     if not paths:
         deltas = spark.createDataFrame([], STORED)
@@ -87,7 +87,7 @@ def read_state(
     return live.groupBy("key").agg(newest.alias("r")).select("key", "r.*")
 
 
-def _session_now(spark: SparkSession) -> datetime:
+def session_now(spark: SparkSession) -> datetime:
     """The present in the session's time zone, without zone."""
     text = spark.sql("SELECT date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss.SSSSSS')").first()[0]
     return datetime.strptime(text, "%Y-%m-%d %H:%M:%S.%f")
@@ -107,7 +107,7 @@ def expired_hours(
     spark: SparkSession, path: str, now: datetime | None = None, config: StateConfig = StateConfig()
 ) -> list[str]:
     """Names of hour folders that hold only expired entries and can be removed."""
-    oldest = ((now or _session_now(spark)) - timedelta(seconds=config.ttl_seconds)).strftime(HOUR_FORMAT)
+    oldest = ((now or session_now(spark)) - timedelta(seconds=config.ttl_seconds)).strftime(HOUR_FORMAT)
     return [n for n in _hours(spark, path) if n.split("=", 1)[1] < oldest]
 
 
