@@ -101,8 +101,16 @@ class StateConfig:
     ttl_seconds: int = 3600
 
 
+@dataclass(frozen=True)
+class SketchConfig:
+    """Size of quantile sketches: exact up to ``k`` values, beyond that a rank errs by about 2.5 / k."""
+
+    k: int = 4096
+
+
 @dataclass(frozen=True)
 class SplitConfig:
-    """How many consecutive rows of one series a task holds at a time."""
+    """How many consecutive rows, or hours, of one series a task holds at a time."""
 
     rows_per_segment: int = 1_000_000
+    hours_per_segment: int = 24 * 366

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CATEGORY, TARGETS
 from ..session import stage
+from .outliers import exact_ranks
 
 #: Categories of which the codes are sent to every executor.
 MOST_BROADCAST_CODES = 100_000
@@ -152,3 +155,29 @@ def random_split(df: DataFrame, train_fraction: float = 0.8, seed: int = 42) ->
     train, test = df.randomSplit([train_fraction, 1 - train_fraction], seed=seed)
     return train, test
 
+
+def time_cutoff(df: DataFrame, train_fraction: float = 0.8, time: str = "datetime") -> int | None:
+    """Microseconds of the newest training time: its percent rank is below the fraction, that of the next time is not.
+
+    ``percent_rank`` of a row is the number of rows with an earlier time over ``n - 1``, so the cut is the
+    value at rank ``ceil(fraction * (n - 1))``, found by histograms of bounded size; no window over the table.
+    Null when there is no time, or nothing is to be trained on.
+    """
+    # The fraction as it is written: 0.8 means four fifths.
+    share = Fraction(str(train_fraction))
+    if share <= 0:
+        return None
+    found = exact_ranks(df.select(F.unix_micros(time).alias("t")), "t", lambda n: [max(1, math.ceil(share * (n - 1)))])
+    return int(found[0]) if found else None
+
+
+def time_split(df: DataFrame, train_fraction: float = 0.8, time: str = "datetime") -> tuple[DataFrame, DataFrame]:
+    """Older rows to train on and newer ones to test with; equal times are never parted.
+
+    The cut is one literal, so either part is a filter that reaches the scan. Rows without time are trained on.
+    """
+    micros = time_cutoff(df, train_fraction, time)
+    if micros is None:
+        return df.filter(F.col(time).isNull()), df.filter(F.col(time).isNotNull())
+    cutoff = F.timestamp_micros(F.lit(micros))
+    return df.filter(F.col(time).isNull() | (F.col(time) <= cutoff)), df.filter(F.col(time) > cutoff)

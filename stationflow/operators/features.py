@@ -40,7 +40,7 @@ def rolling_columns(window: WindowSpec, measures: Sequence[str], sizes: Sequence
     return columns
 
 
-def _present(df: DataFrame, measures: Sequence[str]) -> list[str]:
+def present(df: DataFrame, measures: Sequence[str]) -> list[str]:
     return [m for m in measures if m in df.columns]
 
 
@@ -54,7 +54,7 @@ def with_lags(
     tie: Sequence[str] = (),
     split: SplitConfig = SplitConfig(),
 ) -> DataFrame:
-    measures = _present(df, config.measures)
+    measures = present(df, config.measures)
     return over_series(
         df, lambda w: lag_columns(w, measures, config.lags), max(config.lags), tie=tie, split=split
     )
@@ -66,7 +66,7 @@ def with_rolling(
     tie: Sequence[str] = (),
     split: SplitConfig = SplitConfig(),
 ) -> DataFrame:
-    measures = _present(df, config.measures)
+    measures = present(df, config.measures)
     return over_series(
         df, lambda w: rolling_columns(w, measures, config.windows), max(config.windows), tie=tie, split=split
     )
@@ -94,7 +94,7 @@ def build_features(
     split: SplitConfig = SplitConfig(),
 ) -> DataFrame:
     """Calendar, lag, rolling and derived columns: one shuffle for all windows."""
-    measures = _present(df, config.measures)
+    measures = present(df, config.measures)
 
     def columns(window):
         return lag_columns(window, measures, config.lags) | rolling_columns(window, measures, config.windows)

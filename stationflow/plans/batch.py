@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import FeatureConfig, ModelConfig, QualityConfig, SplitConfig
 from ..operators.clean import complete_rows
-from ..operators.combine import hash_split, history_plus_future, random_split
+from ..operators.combine import hash_split, history_plus_future, random_split, time_split
 from ..operators.features import build_features, feature_names
 from ..operators.metrics import all_metrics
 from ..operators.quality import Gate, quality_gate
@@ -61,6 +61,8 @@ def split_rows(df: DataFrame, kind: str, config: ModelConfig) -> tuple[DataFrame
         return hash_split(df, config.train_fraction)
     if kind == "random":
         return random_split(df, config.train_fraction, config.seed)
+    if kind == "time":
+        return time_split(df, config.train_fraction)
     raise ValueError(f"unknown split: {kind}")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CATEGORY, MEASURES, TARGETS, SplitConfig, StateConfig
+from ..config import CATEGORY, MEASURES, TARGETS, SketchConfig, SplitConfig, StateConfig
 from ..functions.scores import (
     emergency_level,
     keyword_score,
@@ -15,11 +15,12 @@ from ..functions.scores import (
     temperature_score,
     wind_score,
 )
-from ..operators import align, clean, combine, enrich, features, metrics, quality, serving
+from ..operators import align, clean, combine, enrich, features, hours, metrics, outliers, quality, serving
 from ..operators.normalize import normalize_observations
 from ..operators.outliers import impute, without_outliers
 from ..operators.series import over_series
 from ..session import shared_dir, stage
+from ..sources import compaction
 from ..sources.events import events_as_observations, read_events
 from ..sources.readers import (
     decode_messages,
@@ -37,6 +38,8 @@ from ..sources.sinks import (
 )
 from ..streaming.control import drain
 from ..streaming.etl import clean_stream, start_etl, start_lake_sink, start_state_sink
+from ..streaming.late import read_stored, start_late_aware_sink
+from ..streaming.snapshot import read_snapshot, start_snapshot_sink
 from ..streaming.state import as_state, read_state
 from .batch import BatchConfig, run_on
 from .forecast import forecast
@@ -59,6 +62,8 @@ LEFT_OUT = {
     "wind_speed": "error",
 }
 OBSERVED = ("datetime", "city", *TARGETS)
+# Fixed value: segments of hour features are short enough that given series are cut.
+HOUR_SPLIT = SplitConfig(hours_per_segment=100)
 
 
 def raw(spark: SparkSession, sf_dir: str, stations: int | None = None, keep=("event_id",)) -> DataFrame:
@@ -245,6 +250,15 @@ def rolling_features(spark, sf_dir):
     return rounded(features.with_rolling(observations(spark, sf_dir)).drop(*TARGETS))
 
 
+def hour_lag_features(spark, sf_dir):
+    """Readings of exactly so many hours before; the series have gaps."""
+    return hours.with_hour_lags(observations(spark, sf_dir), split=HOUR_SPLIT).drop(*TARGETS)
+
+
+def hour_rolling_features(spark, sf_dir):
+    return rounded(hours.with_hour_rolling(observations(spark, sf_dir), split=HOUR_SPLIT).drop(*TARGETS))
+
+
 def derived_features(spark, sf_dir):
     df = features.with_derived(features.with_lags(observations(spark, sf_dir)))
     return rounded(
@@ -321,15 +335,21 @@ def iqr_filter(spark, sf_dir):
 
 
 def iqr_filter_sketch(spark, sf_dir):
-    """The filter as users call it: rows that a 5 % sketch may not drop, and those it may not keep."""
+    """The filter by a mergeable sketch, which is exact up to its 65,535 values and errs in rank beyond."""
     events = read_events(spark, sf_dir).select("event_id", "value")
-    kept = without_outliers(events, "value")
-    loose = [events.filter(F.col("value").isNotNull()).agg(F.percentile("value", [p - 0.06, p + 0.06])).first()[0] for p in (0.25, 0.75)]
-    (low, low_to), (high_from, high) = loose
-    inner, outer = high_from - low_to, high - low
-    must = events.filter(F.col("value").between(low_to - 1.5 * inner, high_from + 1.5 * inner))
-    may = F.col("value").between(low - 1.5 * outer, high + 1.5 * outer)
-    return must.join(kept, "event_id", "left_anti").select("event_id").union(kept.filter(~may).select("event_id")).agg(F.count("*").alias("n_wrong"))
+    return without_outliers(events, "value", sketch=SketchConfig(65_535))
+
+
+def station_fences(spark, sf_dir):
+    """Quartiles and fences of every station, merged from sketches of its days."""
+    daily = readings(spark, sf_dir).select("city", F.to_date("datetime").alias("day"), "temperature")
+    return rounded(outliers.fences_by(daily, "temperature", by=["day"]))
+
+
+def station_outliers(spark, sf_dir):
+    """Readings within half an interquartile range of their own station's quartiles."""
+    kept = outliers.without_outliers_by(stage(readings(spark, sf_dir), "readings"), "wind_speed", reach=0.5)
+    return kept.select("datetime", "city", "wind_speed")
 
 
 def impute_mean(spark, sf_dir):
@@ -462,6 +482,12 @@ def hash_split(spark, sf_dir):
     return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
 
+def time_split(spark, sf_dir):
+    """The older four fifths of all readings and the newer fifth."""
+    train, test = combine.time_split(stage(readings(spark, sf_dir).select("datetime", "city"), "readings"))
+    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+
+
 # -- streams ---------------------------------------------------------------
 
 
@@ -500,6 +526,50 @@ def stream_latest_state(spark, sf_dir):
     return read_state(spark, path).select("key", "reading.datetime", "reading.city")
 
 
+def arrivals(spark, sf_dir, n=3):
+    """Folder of messages, and a function that adds the next of ``n`` shares of all events to it, each from all times."""
+    path = shared_dir(spark, "messages")
+
+    def arrive(share):
+        publish_to_files(as_messages(raw(spark, sf_dir).filter(F.col("event_id") % n == share).repartition(4)), path)
+
+    return path, arrive
+
+
+def lake_compacted(spark, sf_dir):
+    """A lake that is compacted between two runs of its stream, and restarted once more."""
+    messages, arrive = arrivals(spark, sf_dir, 2)
+    lake, checkpoint = shared_dir(spark, "stream-lake"), shared_dir(spark, "stream-checkpoints")
+    for share in (0, 1, None):
+        if share is not None:
+            arrive(share)
+        drain(start_lake_sink(clean_stream(read_message_files(spark, messages, max_files_per_trigger=2)), lake, checkpoint, every=None))
+        if share == 0:
+            compaction.compact(spark, lake)
+    # Half the rows in compacted files, the other half in files that came since.
+    return compaction.read_compacted(spark, lake).select("datetime", "city")
+
+
+def state_snapshot(spark, sf_dir):
+    """Current readings after two runs of a stream, each batch merged into a snapshot."""
+    messages, arrive = arrivals(spark, sf_dir, 2)
+    path, checkpoint = shared_dir(spark, "stream-state"), shared_dir(spark, "stream-checkpoints")
+    for share in (0, 1):
+        arrive(share)
+        drain(start_snapshot_sink(feed(spark, messages), path, checkpoint, every=None))
+    return read_snapshot(spark, path).select("key", "reading.datetime", "reading.city")
+
+
+def late_rows(spark, sf_dir):
+    """Keys of the lake and of the late table of a stream that forgets keys after a day."""
+    messages, arrive = arrivals(spark, sf_dir)
+    lake, late, checkpoint = (shared_dir(spark, f"stream-{name}") for name in ("lake", "late", "checkpoints"))
+    for share in range(3):
+        arrive(share)
+        drain(start_late_aware_sink(read_message_files(spark, messages), lake, late, checkpoint, "1 day", every=None))
+    return read_stored(spark, lake).union(read_stored(spark, late)).select("datetime", "city")
+
+
 def stream_two_sinks(spark, sf_dir):
     """Rows of the lake and newest time of the state, per station, from one stream."""
     messages, lake, path = repeated_messages(spark, sf_dir), shared_dir(spark, "stream-lake"), shared_dir(spark, "stream-state")
@@ -593,6 +663,14 @@ QUERIES: dict[str, Query] = {
     "current_reading": current_reading,
     "lake_evolved": lake_evolved,
     "iqr_filter_sketch": iqr_filter_sketch,
+    "lake_compacted": lake_compacted,
+    "state_snapshot": state_snapshot,
+    "hour_lag_features": hour_lag_features,
+    "hour_rolling_features": hour_rolling_features,
+    "station_fences": station_fences,
+    "station_outliers": station_outliers,
+    "time_split": time_split,
+    "late_rows": late_rows,
     "latest_features": flagship,
     "train_score": train_score,
     "forecast_7d": forecast_7d,

@@ -246,6 +246,28 @@ ALL_METRICS = f"""SELECT target, rmse, mae, r2, mape, CAST(NULL AS DOUBLE) AS ac
       accuracy, f1, "precision", recall, sample_count FROM ({CLASSIFICATION})"""
 
 
+# -- features by hours -------------------------------------------------------
+
+
+def hour_frame(hours: int, until: int = 0) -> str:
+    return f"(PARTITION BY city ORDER BY datetime RANGE BETWEEN INTERVAL '{hours}' HOUR PRECEDING AND INTERVAL '{until}' HOUR PRECEDING)"
+
+
+HOUR_LAGS = ", ".join(f"max({m}) OVER {hour_frame(n, n)} AS {m}_hour_lag_{n}" for m in MEASURES for n in LAGS)
+
+
+def hour_rolling_columns() -> str:
+    columns = []
+    for m in MEASURES:
+        for s in SIZES:
+            columns.append(r6(f"avg({m}) OVER {hour_frame(s)}", f"{m}_hour_mean_{s}"))
+            columns.append(r6(f"stddev_samp({m}) OVER {hour_frame(s)}", f"{m}_hour_std_{s}"))
+            columns.append(f"count({m}) OVER {hour_frame(s)} AS {m}_hour_count_{s}")
+            if "wind" in m:
+                columns.append(r6(f"max({m}) OVER {hour_frame(s)}", f"{m}_hour_max_{s}"))
+    return ", ".join(columns)
+
+
 # -- serving -----------------------------------------------------------------
 
 VIEW = """datetime, city, temperature AS temp_celsius, humidity AS humidity_pct, wind_speed AS wind_speed_kmh,
@@ -404,7 +426,21 @@ SQL: dict[str, str] = {
       UNION ALL SELECT *, 'City 1' AS asked FROM live WHERE city = 'City 1'""",
     "lake_evolved": f"""{base()} SELECT datetime, city,
         {', '.join(f'CASE WHEN hour(datetime) >= 12 THEN {t} END AS {t}' for t in TARGETS)} FROM obs""",
-    "iqr_filter_sketch": "SELECT count(*) - count(*) AS n_wrong FROM events",
+    "iqr_filter_sketch": IQR,
+    "lake_compacted": f"{base()} SELECT datetime, city FROM obs",
+    "late_rows": f"{base()} SELECT datetime, city FROM obs",
+    "state_snapshot": f"{base()}, {LATEST} SELECT 'weather:current:' || city AS key, datetime, city FROM latest",
+    "hour_lag_features": f"{base()} SELECT datetime, city, {HOUR_LAGS} FROM obs",
+    "hour_rolling_features": f"{base()} SELECT datetime, city, {hour_rolling_columns()} FROM obs",
+    "station_fences": f"""{base()}, q AS (SELECT city, count(*) AS n, quantile_disc(temperature, 0.25) AS q1,
+        quantile_disc(temperature, 0.75) AS q3 FROM obs GROUP BY city)
+      SELECT city, n, {r6('q1', 'q1')}, {r6('q3', 'q3')}, {r6('q1 - 1.5e0 * (q3 - q1)', 'low')}, {r6('q3 + 1.5e0 * (q3 - q1)', 'high')} FROM q""",
+    "station_outliers": f"""{base()}, q AS (SELECT city, quantile_disc(wind_speed, 0.25) AS q1, quantile_disc(wind_speed, 0.75) AS q3
+        FROM obs GROUP BY city)
+      SELECT datetime, city, wind_speed FROM obs JOIN q USING (city)
+      WHERE wind_speed BETWEEN q1 - 0.5e0 * (q3 - q1) AND q3 + 0.5e0 * (q3 - q1)""",
+    "time_split": f"""{base()} SELECT datetime, city,
+        CASE WHEN percent_rank() OVER (ORDER BY datetime) < 0.8 THEN 'train' ELSE 'test' END AS part FROM obs""",
     "latest_features": f"""{base()}, features AS ({FEATURES}), newest AS (SELECT * FROM features
         QUALIFY row_number() OVER (PARTITION BY city ORDER BY datetime DESC) = 1)
       SELECT * EXCLUDE (wind_points, temperature_points, pressure_points, keyword_points) FROM ({risk('newest')})""",
