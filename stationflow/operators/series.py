@@ -2,9 +2,11 @@
 
 A window partitioned by station puts all rows of that station into one task.
 The functions here give the same values as that window, but cut every series at
-row positions: the table is range-partitioned by station and time, which also
-splits a single day of a single station, positions follow from the row counts
-of the ranges, and a segment is ``rows_per_segment`` consecutive positions.
+row positions: the table is range-partitioned and sorted by station and time, which
+also splits a single day of a single station, and stored with each row's place in
+its range. Places and the sizes of the ranges give the row's number in the whole
+sorted table, and a segment is ``rows_per_segment`` consecutive numbers. So the
+windows need one shuffle, by station and segment.
 
 * ``over_series`` gives each segment copies of as many preceding rows as its
   frames can read;
@@ -27,28 +29,29 @@ from ..session import stage
 SeriesColumns = Callable[[WindowSpec], Mapping[str, Column]]
 
 
+#: Bits of a generated id that count rows within a task.
+_PLACE_BITS = 33
+
+
 def with_positions(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Add ``_row``: each row's place, from 0, in its key's series ordered by ``order``.
+    """Add ``_row``: each row's number, from 0, in the table sorted by ``key`` and ``order``.
 
-    The ranges are stored, because they come from a sample and the counts must
-    belong to the same ranges as the rows.
+    The rows of a key are consecutive. The ranges are stored, because they come
+    from a sample and their sizes must belong to the same ranges as the rows. No
+    shuffle follows: there is one size per range, few enough to be sent to all.
     """
-    columns = [F.col(c) for c in order]
-    ranges = stage(
-        df.repartitionByRange(F.col(key), *columns).withColumn("_range", F.spark_partition_id()), "ranges"
-    )
-    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ranges.groupBy(key, "_range")
-        .agg(F.count("*").alias("_n"))
-        .select(F.col(key).alias("_key"), F.col("_range").alias("_at"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    )
-    within = F.row_number().over(Window.partitionBy(key, "_range").orderBy(*columns)) - 1
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_at"))
+    columns = [F.col(c) for c in (key, *order)]
+    sorted_ranges = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    ranges = stage(sorted_ranges.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    number = F.shiftright("_place", _PLACE_BITS)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranges.groupBy(number.alias("_range")).agg(F.count("*").alias("_n"))
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    within = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     return (
-        ranges.withColumn("_within", within)
-        .join(starts, same)
-        .select(*df.columns, (F.col("_start") + F.col("_within")).alias("_row"))
+        ranges.withColumn("_range", number)
+        .join(F.broadcast(starts), "_range")
+        .select(*df.columns, (F.col("_start") + within).alias("_row"))
     )
 
 
@@ -101,7 +104,6 @@ def fill_series(
         return F.first(column, ignorenulls=True).over(whole)
 
     placed = with_positions(df, key, [time]).withColumn("_segment", segment_of(F.col("_row"), split))
-    placed = stage(placed, "positions")
     known = [
         agg
         for c in columns

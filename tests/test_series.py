@@ -8,7 +8,7 @@ from conftest import rows
 from stationflow.config import SplitConfig
 from stationflow.operators.enrich import with_trend
 from stationflow.operators.features import build_features, feature_names
-from stationflow.operators.series import fill_series, over_series
+from stationflow.operators.series import fill_series, over_series, with_positions
 
 PLAIN = SplitConfig(rows_per_segment=10**9)
 
@@ -91,6 +91,24 @@ def test_staged_ranges_can_be_dropped(spark, readings):
     assert drop_staged(spark) > 0 and drop_staged(spark) == 0
 
 
+def shuffles_of_windows(df):
+    """Exchanges of whole rows after the staged ranges; sizes of ranges are one row each."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    return sum("Exchange hashpartitioning(city" in line for line in plan.splitlines()), plan.count("SortMergeJoin")
+
+
+def test_windows_shuffle_rows_once(readings):
+    assert shuffles_of_windows(with_trend(readings)) == (1, 0)
+    assert shuffles_of_windows(build_features(readings)) == (1, 0)
+
+
+def test_rows_are_numbered_in_the_order_of_the_table(readings):
+    numbered = with_positions(readings, "city", ["datetime"])
+    got = [r["_row"] for r in numbered.orderBy("city", "datetime").collect()]
+    assert got == list(range(3000))
+
+
 def test_feature_table_shape(readings):
     table = build_features(readings)
     names = feature_names(table)
