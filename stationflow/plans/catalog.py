@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CATEGORY, MEASURES, TARGETS, SketchConfig, SplitConfig, StateConfig
+from ..config import CATEGORY, MEASURES, TARGETS, ModelConfig, SketchConfig, SplitConfig, StateConfig
 from ..functions.scores import (
     emergency_level,
     keyword_score,
@@ -28,21 +28,27 @@ from ..sources.readers import (
     read_file,
     read_message_files,
     read_predictions,
+    read_wide_csv,
 )
+from ..sources.schema_log import append_evolving
 from ..sources.sinks import (
     as_messages,
+    load_models,
     publish_to_files,
     upsert_predictions,
     write_csv,
     write_parquet,
 )
+from ..sources.sorted import POSITION, read_range, read_sorted, write_sorted
 from ..streaming.control import drain
 from ..streaming.etl import clean_stream, start_etl, start_lake_sink, start_state_sink
 from ..streaming.late import read_stored, start_late_aware_sink
 from ..streaming.snapshot import read_snapshot, start_snapshot_sink
 from ..streaming.state import as_state, read_state
+from . import trees
 from .batch import BatchConfig, run_on
 from .forecast import forecast
+from .models import score_with
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,11 +191,11 @@ def lake_files(spark, sf_dir):
 
 
 def lake_evolved(spark, sf_dir):
-    """Two writes, of which only the second has measures."""
+    """Two writes, of which only the second has measures; the schema comes from the lake's log, not from footers."""
     path = shared_dir(spark, "lake")
     df = readings(spark, sf_dir)
-    write_parquet(df.filter(F.hour("datetime") < 12).select("datetime", "city"), f"{path}/part=0")
-    write_parquet(df.filter(F.hour("datetime") >= 12), f"{path}/part=1")
+    append_evolving(df.filter(F.hour("datetime") < 12).select("datetime", "city"), path)
+    append_evolving(df.filter(F.hour("datetime") >= 12), path)
     return load_observations(spark, path).select(*OBSERVED)
 
 
@@ -306,6 +312,40 @@ def fill_series(spark, sf_dir):
     return rounded(align.by_time(align.ingest_wide(wide_tables(spark, sf_dir))))
 
 
+def wide_csv_ingest(spark, sf_dir):
+    """Wide CSV files to the filled table: some readings are no numbers, and the file of one measure is missing."""
+    folder = shared_dir(spark, "wide")
+    source = raw(spark, sf_dir, STATIONS, keep=("event_id", "event_type")).withColumns(
+        {"City": F.trim("City"), "temperature": F.col("temperature") + align.KELVIN_OFFSET}
+    )
+    for measure, left_out in LEFT_OUT.items():
+        kept = source.filter((F.col("event_type") != left_out) & F.col(measure).isNotNull())
+        reading = F.col(measure).cast("string")
+        if measure != CATEGORY:
+            reading = F.when(F.col("event_id") % 50 == 0, "n/a").otherwise(reading)
+        if measure != "pressure":
+            write_csv(kept.groupBy("datetime").pivot("City", WIDE_CITIES).agg(F.min_by(reading, "event_id")), f"{folder}/{measure}.csv")
+    tables = read_wide_csv(spark, {m: f"{folder}/{m}.csv" for m in LEFT_OUT})
+    return rounded(align.by_time(align.ingest_wide(tables)))
+
+
+def sorted_lake(spark, sf_dir):
+    path = shared_dir(spark, "sorted")
+    write_sorted(readings(spark, sf_dir), path, ["datetime", "city"])
+    return path
+
+
+def sorted_export(spark, sf_dir):
+    """Readings with their position in the export, which is their place by time and station."""
+    return read_sorted(spark, sorted_lake(spark, sf_dir)).select("datetime", "city", F.col(POSITION).alias("position"))
+
+
+def sorted_range(spark, sf_dir):
+    """A day and a half of the export, from the files whose bounds meet it."""
+    low, high = (F.lit(t).cast("timestamp") for t in ("2024-01-10 00:00:00", "2024-01-11 12:00:00"))
+    return read_range(spark, sorted_lake(spark, sf_dir), low, high).select("datetime", "city")
+
+
 def ingest_report(spark, sf_dir):
     return align.ingest_report(align.align_measures(wide_tables(spark, sf_dir)))
 
@@ -587,11 +627,47 @@ def model_run(spark, sf_dir):
 
 
 def train_score(spark, sf_dir):
-    return model_run(spark, sf_dir).metrics
+    """Test rows of every target, and whether its metrics are sound: errors not negative, shares within 0 and 1."""
+    sound = F.when(F.col("target") == CATEGORY, F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1)).otherwise(
+        (F.col("rmse") >= F.col("mae")) & (F.col("mae") >= 0) & (F.col("r2") <= 1)
+    )
+    return model_run(spark, sf_dir).metrics.select("target", "sample_count", F.coalesce(sound, F.lit(False)).alias("sound"))
 
 
 def forecast_7d(spark, sf_dir):
-    return model_run(spark, sf_dir).future
+    """Keys of the forecast, and how many targets are predicted for each."""
+    predicted = sum((F.col(f"prediction_{t}").isNotNull().cast("long") for t in TARGETS), F.lit(0).cast("long"))
+    return model_run(spark, sf_dir).future.select("datetime", "city", predicted.alias("n_predictions"))
+
+
+def saved_models_score(spark, sf_dir):
+    """Rows per target that models score the same before they are saved and after they are loaded."""
+    path, models = shared_dir(spark, "observations"), shared_dir(spark, "models")
+    readings(spark, sf_dir).write.parquet(path)
+    # A few trees are enough to be saved.
+    small = ModelConfig(gbt_iterations=3, forest_trees=3)
+    result = run_on(load_observations(spark, path), BatchConfig(path, models=models, model=small))
+    before = result.scored.withColumnsRenamed({f"prediction_{t}": f"before_{t}" for t in TARGETS})
+    both = score_with(before, load_models(models, TARGETS))
+    same = [F.count_if(F.col(f"prediction_{t}").eqNullSafe(F.col(f"before_{t}"))).alias(t) for t in TARGETS]
+    counts = both.agg(F.count("*").alias("n_rows"), *same)
+    return counts.unpivot("n_rows", list(TARGETS), "target", "n_same")
+
+
+def tree_stump(spark, sf_dir):
+    """Best single split of every measure by hour, weekday and day, with the scores its nodes give."""
+    rows = stage(features.with_calendar(readings(spark, sf_dir)).withColumn("day_of_month", F.dayofmonth("datetime")), "calendar")
+    inputs, found = ["hour_of_day", "day_of_week", "day_of_month"], None
+    for measure in MEASURES:
+        nodes = stage(trees.nodes_of(trees.fit_stump(rows, inputs, measure), inputs), "nodes")
+        root, left, right = nodes.filter("feature IS NOT NULL"), nodes.filter("node = 1"), nodes.filter("node = 2")
+        scored = trees.score_by_nodes(rows.select(measure, *inputs), inputs, nodes)
+        ends = [d.select("tree", F.col("rows").alias(f"{side}_rows"), F.col("prediction").alias(f"{side}_mean")) for d, side in ((left, "left"), (right, "right"))]
+        errors = scored.agg(F.lit(0).alias("tree"), F.avg(F.pow(F.col(measure) - F.col("prediction"), 2)).alias("error"))
+        split = root.select("tree", F.lit(measure).alias("target"), "feature", "threshold", "gain")
+        row = split.join(ends[0], "tree").join(ends[1], "tree").join(errors, "tree").drop("tree")
+        found = row if found is None else found.union(row)
+    return rounded(found)
 
 
 def flagship(spark, sf_dir):
@@ -674,4 +750,9 @@ QUERIES: dict[str, Query] = {
     "latest_features": flagship,
     "train_score": train_score,
     "forecast_7d": forecast_7d,
+    "saved_models_score": saved_models_score,
+    "tree_stump": tree_stump,
+    "wide_csv_ingest": wide_csv_ingest,
+    "sorted_export": sorted_export,
+    "sorted_range": sorted_range,
 }

@@ -142,27 +142,33 @@ def risk(source: str) -> str:
 # -- ingest ------------------------------------------------------------------
 
 
-def aligned() -> str:
-    """CTEs up to ``aligned``: the full outer alignment of the wide tables."""
+def aligned(bad_every: int | None = None, without: tuple[str, ...] = ()) -> str:
+    """CTEs up to ``aligned``: the full outer alignment of the wide tables.
+
+    The reading of every ``bad_every``-th event is no number; the tables in ``without`` are not there.
+    """
+    tables = {m: left_out for m, left_out in LEFT_OUT.items() if m not in without}
     parts = [f"WITH raw AS ({raw_sql(STATIONS)})"]
     cities = f"SELECT 'city ' || CAST(i AS VARCHAR) AS \"City\" FROM range({STATIONS}) t(i)"
-    for m, left_out in LEFT_OUT.items():
+    for m, left_out in tables.items():
         value = f"{m} + 273.15e0" if m == "temperature" else m
+        if bad_every and m != "weather_desc":
+            value = f"CASE WHEN event_id % {bad_every} <> 0 THEN {value} END"
         parts.append(
             f"""picked_{m} AS (SELECT CAST(datetime AS TIMESTAMP) AS datetime, trim("City") AS "City",
-              arg_min({value}, event_id) AS {m} FROM raw
+              arg_min([{value}], event_id)[1] AS {m} FROM raw
               WHERE event_type <> '{left_out}' AND {m} IS NOT NULL GROUP BY 1, 2)"""
         )
-    grid = " UNION ".join(f"SELECT DISTINCT datetime FROM picked_{m}" for m in LEFT_OUT)
+    grid = " UNION ".join(f"SELECT DISTINCT datetime FROM picked_{m}" for m in tables)
     parts.append(f"grid AS (SELECT datetime, \"City\" FROM ({grid}) CROSS JOIN ({cities}))")
-    joins = " ".join(f'LEFT JOIN picked_{m} USING (datetime, "City")' for m in LEFT_OUT)
-    parts.append(f"aligned AS (SELECT datetime, \"City\", {', '.join(LEFT_OUT)} FROM grid {joins})")
+    joins = " ".join(f'LEFT JOIN picked_{m} USING (datetime, "City")' for m in tables)
+    parts.append(f"aligned AS (SELECT datetime, \"City\", {', '.join(tables)} FROM grid {joins})")
     return ", ".join(parts)
 
 
-def filled() -> str:
-    columns = []
-    for m in LEFT_OUT:
+def filled(bad_every: int | None = None, without: tuple[str, ...] = ()) -> str:
+    columns, measures = [], [m for m in LEFT_OUT if m not in without]
+    for m in measures:
         value = "round(temperature - 273.15e0, 2)" if m == "temperature" else m
         columns.append(
             f"""coalesce(last_value({value} IGNORE NULLS) OVER (PARTITION BY "City" ORDER BY datetime
@@ -171,8 +177,8 @@ def filled() -> str:
                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {m}"""
         )
     inner = f"SELECT datetime, \"City\", {', '.join(columns)} FROM aligned"
-    shown = ", ".join(m if m == "weather_desc" else r6(m, m) for m in LEFT_OUT)
-    return f'{aligned()} SELECT datetime, "City", {shown} FROM ({inner})'
+    shown = ", ".join(m if m == "weather_desc" else r6(m, m) for m in measures)
+    return f'{aligned(bad_every, without)} SELECT datetime, "City", {shown} FROM ({inner})'
 
 
 # -- quality -----------------------------------------------------------------
@@ -290,6 +296,33 @@ def typed_null(target: str) -> str:
     return f"CAST(NULL AS {'VARCHAR' if target == 'weather_desc' else 'DOUBLE'}) AS {target}"
 
 
+# -- models ------------------------------------------------------------------
+
+TEST_ROWS = f"""{base()}, numbered AS (SELECT *, row_number() OVER ({windowed()}) AS rn FROM obs),
+    test AS (SELECT * FROM numbered WHERE rn > 24 AND weather_desc IS NOT NULL AND CAST('0x' || substr(md5(city || '|' ||
+      CAST(epoch_us(datetime) AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296e0 >= 0.8e0),
+    targets AS (SELECT unnest([{', '.join(f"'{t}'" for t in TARGETS)}]) AS target)"""
+STUMP_INPUTS = {"hour_of_day": "hour(datetime)", "day_of_week": "dayofweek(datetime) + 1", "day_of_month": "day(datetime)"}
+
+
+def stump() -> str:
+    """Every split of every input between neighbouring values, and the one that lowers the variance most."""
+    cells = " UNION ALL ".join(
+        f"SELECT '{m}' AS target, '{name}' AS feature, CAST({value} AS DOUBLE) AS v, {m} AS y FROM obs" for m in MEASURES for name, value in STUMP_INPUTS.items()
+    )
+    return f"""{base()}, cells AS ({cells}),
+      sums AS (SELECT target, feature, v, count(*) AS n, sum(y) AS s, sum(y * y) AS q FROM cells GROUP BY ALL),
+      cuts AS (SELECT target, feature, (v + lead(v) OVER o) / 2e0 AS threshold,
+          sum(n) OVER (o ROWS UNBOUNDED PRECEDING) AS ln, sum(s) OVER (o ROWS UNBOUNDED PRECEDING) AS ls,
+          sum(n) OVER a AS n, sum(s) OVER a AS s, sum(q) OVER a AS q
+        FROM sums WINDOW o AS (PARTITION BY target, feature ORDER BY v), a AS (PARTITION BY target, feature)),
+      gains AS (SELECT *, (ls * ls / ln + (s - ls) * (s - ls) / (n - ln) - s * s / n) / n AS gain FROM cuts WHERE threshold IS NOT NULL),
+      best AS (SELECT * FROM gains QUALIFY row_number() OVER (PARTITION BY target ORDER BY gain DESC) = 1)
+      SELECT target, feature, {r6('threshold', 'threshold')}, {r6('gain', 'gain')}, CAST(ln AS BIGINT) AS left_rows, {r6('ls / ln', 'left_mean')},
+        CAST(n - ln AS BIGINT) AS right_rows, {r6('(s - ls) / (n - ln)', 'right_mean')},
+        {r6('q / n - (s / n) * (s / n) - gain', 'error')} FROM best"""
+
+
 SQL: dict[str, str] = {
     "clean_observations": f"{base(STATIONS)} SELECT * FROM cleaned",
     "normalize_observations": f"{base(STATIONS)} SELECT {OBSERVED} FROM obs",
@@ -363,6 +396,9 @@ SQL: dict[str, str] = {
     "kelvin_convert": f"""{aligned()}, hours AS (SELECT DISTINCT datetime FROM picked_temperature)
       SELECT datetime, "City", round(temperature - 273.15e0, 2) AS temperature FROM aligned JOIN hours USING (datetime)""",
     "fill_series": filled(),
+    "wide_csv_ingest": filled(50, ("pressure",)),
+    "sorted_export": f"""{base()} SELECT datetime, city, CAST(row_number() OVER (ORDER BY datetime, city) - 1 AS BIGINT) AS position FROM obs""",
+    "sorted_range": f"""{base()} SELECT datetime, city FROM obs WHERE datetime BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-11 12:00:00'""",
     "ingest_report": f'{aligned()} SELECT count(*) AS n_rows, count(DISTINCT "City") AS n_cities FROM aligned',
     "quality_report": quality_rows(),
     "quality_score": QUALITY_SCORE,
@@ -441,6 +477,13 @@ SQL: dict[str, str] = {
       WHERE wind_speed BETWEEN q1 - 0.5e0 * (q3 - q1) AND q3 + 0.5e0 * (q3 - q1)""",
     "time_split": f"""{base()} SELECT datetime, city,
         CASE WHEN percent_rank() OVER (ORDER BY datetime) < 0.8 THEN 'train' ELSE 'test' END AS part FROM obs""",
+    "train_score": f"""{TEST_ROWS} SELECT target, (SELECT count(*) FROM test) AS sample_count, TRUE AS sound FROM targets""",
+    "forecast_7d": f"""{base()}, numbered AS (SELECT *, row_number() OVER ({windowed()}) AS rn FROM obs),
+      newest AS (SELECT city, max(datetime) AS datetime FROM numbered WHERE rn > 24 GROUP BY city)
+      SELECT CAST(CAST(datetime AS DATE) + CAST(d AS INTEGER) AS TIMESTAMP) AS datetime, city, CAST(6 AS BIGINT) AS n_predictions
+      FROM newest, range(1, 8) t(d)""",
+    "saved_models_score": f"""{TEST_ROWS} SELECT (SELECT count(*) FROM test) AS n_rows, target, (SELECT count(*) FROM test) AS n_same FROM targets""",
+    "tree_stump": stump(),
     "latest_features": f"""{base()}, features AS ({FEATURES}), newest AS (SELECT * FROM features
         QUALIFY row_number() OVER (PARTITION BY city ORDER BY datetime DESC) = 1)
       SELECT * EXCLUDE (wind_points, temperature_points, pressure_points, keyword_points) FROM ({risk('newest')})""",

@@ -103,15 +103,17 @@ def load_observations(
 ) -> DataFrame:
     """Lake scan with the station filter at the scan and an optional earliest-rows limit.
 
-    Columns that only some files have are kept, as nulls elsewhere, unless ``merge_schema`` is off.
+    Columns that only some files have are kept, as nulls elsewhere, unless ``merge_schema`` is off: by
+    the lake's schema log if it has one, else by the footers of all files.
     Compacted days are read in place of the files they stand for.
     """
     from ..functions.text import to_timestamp
     from ..operators.clean import for_city
     from ..operators.combine import earliest_rows
     from .compaction import read_compacted
+    from .schema_log import logged_schema
 
-    df = read_compacted(spark, path, merge_schema=merge_schema)
+    df = read_compacted(spark, path, logged_schema(spark, path) if merge_schema else None, merge_schema)
     if "datetime" in df.columns and isinstance(df.schema["datetime"].dataType, T.StringType):
         df = df.withColumn("datetime", to_timestamp("datetime", T.StringType()))
     return earliest_rows(for_city(df, city), limit)

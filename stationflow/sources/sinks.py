@@ -16,14 +16,12 @@ from ..session import stage
 
 log = logging.getLogger(__name__)
 
-# Layer names of the lake and the folders they stand for.
-LAYERS = {"cleaned": "cleaned", "enriched": "enriched", "raw": "raw", "archive": "archive"}
 DAY = "obs_date"
 
 
 def lake_path(root: str, layer: str, dataset: str) -> str:
-    """``root/layer/dataset``; a layer without an entry is used as it is."""
-    return "/".join([root.rstrip("/"), LAYERS.get(layer, layer), dataset])
+    """``root/layer/dataset``."""
+    return "/".join([root.rstrip("/"), layer, dataset])
 
 
 def with_day(df: DataFrame) -> DataFrame:
