@@ -43,6 +43,7 @@ from ..sources.sorted import POSITION, read_range, read_sorted, write_sorted
 from ..streaming.control import drain
 from ..streaming.etl import clean_stream, start_etl, start_lake_sink, start_state_sink
 from ..streaming.late import read_stored, start_late_aware_sink
+from ..streaming.lifetimes import live, read_changes, start_change_sink
 from ..streaming.snapshot import read_snapshot, start_snapshot_sink
 from ..streaming.state import as_state, read_state
 from . import trees
@@ -58,6 +59,8 @@ STATIONS = 12
 WIDE_CITIES = [f"city {i}" for i in range(STATIONS)]
 NOW = "2024-01-30 23:30:00"
 LIFETIME = StateConfig(ttl_seconds=6 * 3600)
+# Delay and lifetime of readings in the state store.
+LIFE_DELAY, LIFE_SECONDS = "10 hours 10 minutes", 1800
 # Event type each wide measure table leaves out, so their times differ.
 LEFT_OUT = {
     "temperature": "none",
@@ -610,6 +613,16 @@ def late_rows(spark, sf_dir):
     return read_stored(spark, lake).union(read_stored(spark, late)).select("datetime", "city")
 
 
+def live_stations(spark, sf_dir):
+    """Stations whose newest reading is at most 10 hours and 40 minutes older than the newest of all, from the state store."""
+    messages, arrive = arrivals(spark, sf_dir, 2)
+    path, checkpoint = shared_dir(spark, "stream-changes"), shared_dir(spark, "stream-checkpoints")
+    for share in (0, 1):
+        arrive(share)
+        drain(start_change_sink(read_message_files(spark, messages), path, checkpoint, LIFE_SECONDS, LIFE_DELAY, every=None))
+    return live(read_changes(spark, path)).select("city", "datetime")
+
+
 def stream_two_sinks(spark, sf_dir):
     """Rows of the lake and newest time of the state, per station, from one stream."""
     messages, lake, path = repeated_messages(spark, sf_dir), shared_dir(spark, "stream-lake"), shared_dir(spark, "stream-state")
@@ -752,6 +765,7 @@ QUERIES: dict[str, Query] = {
     "forecast_7d": forecast_7d,
     "saved_models_score": saved_models_score,
     "tree_stump": tree_stump,
+    "live_stations": live_stations,
     "wide_csv_ingest": wide_csv_ingest,
     "sorted_export": sorted_export,
     "sorted_range": sorted_range,

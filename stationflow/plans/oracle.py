@@ -466,6 +466,8 @@ SQL: dict[str, str] = {
     "lake_compacted": f"{base()} SELECT datetime, city FROM obs",
     "late_rows": f"{base()} SELECT datetime, city FROM obs",
     "state_snapshot": f"{base()}, {LATEST} SELECT 'weather:current:' || city AS key, datetime, city FROM latest",
+    "live_stations": f"""{base()}, {LATEST} SELECT city, datetime FROM latest
+      WHERE datetime + INTERVAL '1800' SECOND > (SELECT max(datetime) FROM obs) - INTERVAL '610' MINUTE""",
     "hour_lag_features": f"{base()} SELECT datetime, city, {HOUR_LAGS} FROM obs",
     "hour_rolling_features": f"{base()} SELECT datetime, city, {hour_rolling_columns()} FROM obs",
     "station_fences": f"""{base()}, q AS (SELECT city, count(*) AS n, quantile_disc(temperature, 0.25) AS q1,
