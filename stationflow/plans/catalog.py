@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,34 +29,38 @@ from ..sources.readers import (
     load_observations,
     read_file,
     read_message_files,
+    read_observations,
     read_predictions,
     read_wide_csv,
 )
 from ..sources.schema_log import append_evolving
 from ..sources.sinks import (
     as_messages,
+    lake_path,
     load_models,
     publish_to_files,
     upsert_predictions,
     write_csv,
+    write_lake,
     write_parquet,
 )
 from ..sources.sorted import POSITION, read_range, read_sorted, write_sorted
-from ..streaming.control import drain
+from ..streaming.control import drain, stop_all
 from ..streaming.etl import clean_stream, start_etl, start_lake_sink, start_state_sink
 from ..streaming.late import read_stored, start_late_aware_sink
 from ..streaming.lifetimes import live, read_changes, start_change_sink
 from ..streaming.snapshot import read_snapshot, start_snapshot_sink
 from ..streaming.state import as_state, read_state
 from . import trees
-from .batch import BatchConfig, run_on
+from .batch import BatchConfig, run_batch, run_on
 from .forecast import forecast
 from .models import score_with
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The folded station count, the names it yields and the moment
-# the current-reading queries look from.
+# Users that share a station where repeated keys are wanted, the station
+# count of wide tables with its names, and the moment the current-reading queries look from.
+USERS = 10
 STATIONS = 12
 WIDE_CITIES = [f"city {i}" for i in range(STATIONS)]
 NOW = "2024-01-30 23:30:00"
@@ -75,13 +81,13 @@ OBSERVED = ("datetime", "city", *TARGETS)
 HOUR_SPLIT = SplitConfig(hours_per_segment=100)
 
 
-def raw(spark: SparkSession, sf_dir: str, stations: int | None = None, keep=("event_id",)) -> DataFrame:
-    return events_as_observations(read_events(spark, sf_dir), stations, keep)
+def raw(spark: SparkSession, sf_dir: str, stations: int | None = None, keep=("event_id",), users: int = 1) -> DataFrame:
+    return events_as_observations(read_events(spark, sf_dir), stations, keep, users)
 
 
-def readings(spark: SparkSession, sf_dir: str, stations: int | None = None) -> DataFrame:
+def readings(spark: SparkSession, sf_dir: str, users: int = 1) -> DataFrame:
     """Clean, normalised readings; the earliest event of each key survives."""
-    cleaned = clean.clean_observations(raw(spark, sf_dir, stations), order_by=["event_id"])
+    cleaned = clean.clean_observations(raw(spark, sf_dir, users=users), order_by=["event_id"])
     return normalize_observations(cleaned).select(*OBSERVED)
 
 
@@ -119,15 +125,15 @@ def served(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_observations(spark, sf_dir):
-    return clean.clean_observations(raw(spark, sf_dir, STATIONS), order_by=["event_id"])
+    return clean.clean_observations(raw(spark, sf_dir, users=USERS), order_by=["event_id"])
 
 
 def normalized_observations(spark, sf_dir):
-    return readings(spark, sf_dir, STATIONS)
+    return readings(spark, sf_dir, USERS)
 
 
 def rejected_by_rule(spark, sf_dir):
-    rejected = clean.rejected_observations(raw(spark, sf_dir, STATIONS))
+    rejected = clean.rejected_observations(raw(spark, sf_dir, users=USERS))
     return rejected.groupBy("rule").agg(F.count("*").alias("n_rows"))
 
 
@@ -187,6 +193,33 @@ def json_files(spark, sf_dir):
     return read_file(spark, path)
 
 
+def parquet_files(spark, sf_dir):
+    path = shared_dir(spark, "raw")
+    raw(spark, sf_dir).drop("event_id").write.parquet(path)
+    return read_file(spark, path)
+
+
+def source_dispatch(spark, sf_dir):
+    """Readings per station from the same rows as files and as messages, each opened by the name of its source."""
+    files, messages = shared_dir(spark, "raw") + ".json", shared_dir(spark, "messages")
+    raw(spark, sf_dir).drop("event_id").write.json(files)
+    publish_to_files(as_messages(raw(spark, sf_dir)), messages)
+    opened = [read_observations(spark, name, path=path).withColumn("source", F.lit(name)) for name, path in (("file", files), ("messages", messages))]
+    return opened[0].unionByName(opened[1]).groupBy("source", "City").agg(F.count("*").alias("n_rows"), F.sum("pressure").alias("pressure"))
+
+
+def lake_layers(spark, sf_dir):
+    """One table stored as a batch and as a stream by the same call, in two layers of a lake."""
+    root = shared_dir(spark, "layers")
+    batch, stream = lake_path(root, "cleaned", "batch"), lake_path(root, "enriched", "stream")
+    write_lake(readings(spark, sf_dir), batch)
+    messages = shared_dir(spark, "messages")
+    publish_to_files(as_messages(raw(spark, sf_dir)), messages)
+    drain(write_lake(feed(spark, messages), stream, shared_dir(spark, "stream-checkpoints"), every=None))
+    both = [load_observations(spark, p).select(F.lit(layer).alias("layer"), "datetime", "city") for p, layer in ((batch, "cleaned"), (stream, "enriched"))]
+    return both[0].union(both[1])
+
+
 def lake_files(spark, sf_dir):
     path = shared_dir(spark, "lake")
     write_parquet(readings(spark, sf_dir), path, by_day=True)
@@ -279,6 +312,21 @@ def all_features(spark, sf_dir):
     return rounded(features.build_features(observations(spark, sf_dir)))
 
 
+def feature_counts(spark, sf_dir):
+    """Values of every model input."""
+    table = features.build_features(observations(spark, sf_dir))
+    names = features.feature_names(table)
+    counts = table.agg(*[F.count(F.col(n)).alias(n) for n in names])
+    return counts.unpivot([], names, "feature", "n_values")
+
+
+def labelled_rows(spark, sf_dir):
+    """Rows that each target could be trained on."""
+    table = stage(readings(spark, sf_dir), "readings")
+    counts = [clean.with_label(table, t).agg(F.lit(t).alias("target"), F.count("*").alias("n_rows")) for t in TARGETS]
+    return reduce(DataFrame.union, counts)
+
+
 def training_rows(spark, sf_dir):
     """Complete feature rows per station, after the warm-up rows fall out."""
     complete = clean.complete_rows(features.build_features(observations(spark, sf_dir)))
@@ -364,6 +412,24 @@ def quality_score(spark, sf_dir):
     return quality.quality_score(readings(spark, sf_dir))
 
 
+def gate_outcomes(spark, sf_dir):
+    """Whether the job may go on with all readings, with the first forty, and with these without measures."""
+    table = stage(readings(spark, sf_dir), "readings")
+    few = stage(combine.earliest_rows(table, 40), "readings")
+    bare = few.withColumns({m: F.lit(None).cast("double") for m in MEASURES})
+    gates = [(name, quality.quality_gate(df)) for name, df in (("all", table), ("few", few), ("bare", bare), ("short", few.drop(CATEGORY)))]
+    made = [(name, g.passed, g.score, g.rows) for name, g in gates]
+    return spark.createDataFrame(made, "name string, passed boolean, score double, n_rows long")
+
+
+def preview_rows(spark, sf_dir):
+    return quality.preview(combine.earliest_rows(readings(spark, sf_dir), 5))
+
+
+def first_cities(spark, sf_dir):
+    return quality.first_cities(readings(spark, sf_dir))
+
+
 def city_list(spark, sf_dir):
     return quality.cities(readings(spark, sf_dir))
 
@@ -538,7 +604,7 @@ def repeated_messages(spark, sf_dir):
     """Every event as a message, some twice or three times, in files out of step."""
     copies = F.explode(F.sequence(F.lit(1), F.lit(1) + F.col("event_id") % 3))
     path = shared_dir(spark, "messages")
-    publish_to_files(as_messages(raw(spark, sf_dir, STATIONS).withColumn("_copy", copies)), path)
+    publish_to_files(as_messages(raw(spark, sf_dir, users=USERS).withColumn("_copy", copies)), path)
     return path
 
 
@@ -554,6 +620,18 @@ def stream_clean_parquet(spark, sf_dir):
     return load_observations(spark, lake).select("datetime", "city")
 
 
+def stream_triggers(spark, sf_dir):
+    """The lake of a stream on a timer that takes two files at a time and is stopped once it has caught up."""
+    messages, arrive = arrivals(spark, sf_dir, 1)
+    arrive(0)
+    lake, name = shared_dir(spark, "stream-lake"), f"timed_{os.path.basename(messages)}"
+    stream = clean_stream(read_message_files(spark, messages, max_files_per_trigger=2))
+    query = start_lake_sink(stream, lake, shared_dir(spark, "stream-checkpoints"), every="1 second", name=name)
+    query.processAllAvailable()
+    stop_all(spark, [name])
+    return load_observations(spark, lake).select("datetime", "city")
+
+
 def stream_restart(spark, sf_dir):
     """The lake after a second run over the same messages: nothing comes twice."""
     lake, checkpoint, messages = shared_dir(spark, "stream-lake"), shared_dir(spark, "stream-checkpoints"), repeated_messages(spark, sf_dir)
@@ -667,6 +745,16 @@ def saved_models_score(spark, sf_dir):
     return counts.unpivot("n_rows", list(TARGETS), "target", "n_same")
 
 
+def batch_predictions(spark, sf_dir):
+    """What the whole job stores: scored test rows and seven days ahead, per station."""
+    path, predictions = shared_dir(spark, "observations"), shared_dir(spark, "predictions")
+    write_parquet(readings(spark, sf_dir), path)
+    run_batch(spark, BatchConfig(path, predictions=predictions, model=ModelConfig(gbt_iterations=3, forest_trees=3)))
+    future = F.col("temperature").isNull()
+    stored = read_predictions(spark, predictions).groupBy("city")
+    return stored.agg(F.count_if(~future).alias("n_scored"), F.count_if(future & F.col("prediction_temperature").isNotNull()).alias("n_future"))
+
+
 def tree_stump(spark, sf_dir):
     """Best single split of every measure by hour, weekday and day, with the scores its nodes give."""
     rows = stage(features.with_calendar(readings(spark, sf_dir)).withColumn("day_of_month", F.dayofmonth("datetime")), "calendar")
@@ -765,6 +853,16 @@ QUERIES: dict[str, Query] = {
     "forecast_7d": forecast_7d,
     "saved_models_score": saved_models_score,
     "tree_stump": tree_stump,
+    "parquet_files": parquet_files,
+    "source_dispatch": source_dispatch,
+    "lake_layers": lake_layers,
+    "gate_outcomes": gate_outcomes,
+    "preview_rows": preview_rows,
+    "first_cities": first_cities,
+    "feature_counts": feature_counts,
+    "labelled_rows": labelled_rows,
+    "stream_triggers": stream_triggers,
+    "batch_predictions": batch_predictions,
     "live_stations": live_stations,
     "wide_csv_ingest": wide_csv_ingest,
     "sorted_export": sorted_export,

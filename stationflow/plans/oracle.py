@@ -5,6 +5,7 @@ from __future__ import annotations
 # Fixed values, written out here so that the SQL does not follow the code under test.
 MEASURES = ("temperature", "humidity", "pressure", "wind_speed", "wind_direction")
 TARGETS = (*MEASURES, "weather_desc")
+USERS = 10
 STATIONS = 12
 NOW = "2024-01-30 23:30:00"
 LIFETIME_SECONDS = 21600
@@ -25,8 +26,8 @@ def r6(expression: str, name: str) -> str:
     return f"round({expression}, 6) + 0e0 AS {name}"
 
 
-def raw_sql(stations: int | None = None) -> str:
-    number = "user_id" if stations is None else f"user_id % {stations}"
+def raw_sql(stations: int | None = None, users: int = 1) -> str:
+    number = f"user_id // {users}" if stations is None else f"user_id % {stations}"
     return f"""
       SELECT event_id, event_type,
         strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS datetime,
@@ -51,9 +52,9 @@ def title(expression: str) -> str:
     return f"array_to_string(list_transform({words}, lambda w: upper(w[1]) || w[2:]), ' ')"
 
 
-def base(stations: int | None = None) -> str:
+def base(users: int = 1) -> str:
     """CTEs ``raw``, ``cleaned`` and ``obs``."""
-    return f"""WITH raw AS ({raw_sql(stations)}),
+    return f"""WITH raw AS ({raw_sql(users=users)}),
     ranked AS (
       SELECT *, row_number() OVER (PARTITION BY datetime, "City" ORDER BY event_id) AS rn FROM raw WHERE {VALID}),
     cleaned AS (
@@ -196,18 +197,28 @@ def quality_rows() -> str:
     return f"{base()} " + " UNION ALL ".join(rows)
 
 
-QUALITY_SCORE = f"""{base()},
-    stats AS (SELECT count(*) AS n, min(datetime) AS lo, max(datetime) AS hi,
-      {', '.join(f'count(*) FILTER ({t} IS NULL) AS missing_{t}' for t in TARGETS)} FROM obs),
-    result AS (SELECT n AS total_records,
+def quality_sql(source: str, absent: int = 0) -> str:
+    """Score of a table; ``absent`` of its columns are not there (null in ``source``)."""
+    return f"""SELECT n AS total_records,
       CAST(floor((epoch(hi) - epoch(lo)) / 86400e0) AS INTEGER) AS time_span_days,
       CASE WHEN n = 0 THEN 0e0 ELSE 100e0
         {' '.join(f'- CASE WHEN missing_{t} * 100e0 / n > 20 THEN 5e0 ELSE 0e0 END' for t in TARGETS)}
+        - {15 * absent}e0
         - CASE WHEN floor((epoch(hi) - epoch(lo)) / 86400e0) < 1 THEN 15e0 ELSE 0e0 END
         - CASE WHEN n < 50 THEN 30e0 ELSE 0e0 END END AS quality_score
-      FROM stats)
+      FROM (SELECT count(*) AS n, min(datetime) AS lo, max(datetime) AS hi,
+        {', '.join(f'count(*) FILTER ({t} IS NULL) AS missing_{t}' for t in TARGETS)} FROM {source})"""
+
+
+QUALITY_SCORE = f"""{base()}, result AS ({quality_sql('obs')})
     SELECT *, CASE WHEN quality_score >= 80 THEN 'GOOD' WHEN quality_score >= 60 THEN 'ACCEPTABLE' ELSE 'POOR' END AS band
     FROM result"""
+_NO_MEASURES = ", ".join(f"CAST(NULL AS DOUBLE) AS {m}" for m in MEASURES)
+GATES = f"""{base()}, few AS (SELECT * FROM obs ORDER BY datetime, city LIMIT 40),
+    bare AS (SELECT datetime, city, {_NO_MEASURES}, weather_desc FROM few), short AS (SELECT * REPLACE (CAST(NULL AS VARCHAR) AS weather_desc) FROM few),
+    scores AS (SELECT 'all' AS name, * FROM ({quality_sql('obs')}) UNION ALL SELECT 'few', * FROM ({quality_sql('few')})
+      UNION ALL SELECT 'bare', * FROM ({quality_sql('bare')}) UNION ALL SELECT 'short', * FROM ({quality_sql('short', 1)}))
+    SELECT name, quality_score >= 50 AS passed, quality_score AS score, total_records AS n_rows FROM scores"""
 
 IQR = """WITH q AS (SELECT quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM events)
     SELECT event_id, value FROM events, q
@@ -324,9 +335,9 @@ def stump() -> str:
 
 
 SQL: dict[str, str] = {
-    "clean_observations": f"{base(STATIONS)} SELECT * FROM cleaned",
-    "normalize_observations": f"{base(STATIONS)} SELECT {OBSERVED} FROM obs",
-    "rejected_by_rule": f"""WITH raw AS ({raw_sql(STATIONS)}), marked AS (
+    "clean_observations": f"{base(USERS)} SELECT * FROM cleaned",
+    "normalize_observations": f"{base(USERS)} SELECT {OBSERVED} FROM obs",
+    "rejected_by_rule": f"""WITH raw AS ({raw_sql(users=USERS)}), marked AS (
         SELECT CASE WHEN NOT temperature BETWEEN -50 AND 60 THEN 'temperature_range'
           WHEN NOT humidity BETWEEN 0 AND 100 THEN 'humidity_range'
           WHEN NOT pressure BETWEEN 800 AND 1200 THEN 'pressure_range'
@@ -454,10 +465,10 @@ SQL: dict[str, str] = {
     "hash_split": f"""{base()} SELECT datetime, city, CASE WHEN CAST('0x' || substr(md5(city || '|' ||
         CAST(epoch_us(datetime) AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296e0 < 0.8e0 THEN 'train' ELSE 'test' END AS part
       FROM obs""",
-    "stream_clean_parquet": f"{base(STATIONS)} SELECT datetime, city FROM obs",
-    "stream_latest_state": f"{base(STATIONS)}, {LATEST} SELECT 'weather:current:' || city AS key, datetime, city FROM latest",
-    "stream_restart": f"{base(STATIONS)} SELECT city, count(*) AS n_rows FROM obs GROUP BY city",
-    "stream_two_sinks": f"{base(STATIONS)} SELECT city, count(*) AS n_rows, max(datetime) AS datetime FROM obs GROUP BY city",
+    "stream_clean_parquet": f"{base(USERS)} SELECT datetime, city FROM obs",
+    "stream_latest_state": f"{base(USERS)}, {LATEST} SELECT 'weather:current:' || city AS key, datetime, city FROM latest",
+    "stream_restart": f"{base(USERS)} SELECT city, count(*) AS n_rows FROM obs GROUP BY city",
+    "stream_two_sinks": f"{base(USERS)} SELECT city, count(*) AS n_rows, max(datetime) AS datetime FROM obs GROUP BY city",
     "current_reading": f"""{LIVE} SELECT *, 'first' AS asked FROM (SELECT * FROM live ORDER BY key LIMIT 1)
       UNION ALL SELECT *, 'City 1' AS asked FROM live WHERE city = 'City 1'""",
     "lake_evolved": f"""{base()} SELECT datetime, city,
@@ -486,6 +497,20 @@ SQL: dict[str, str] = {
       FROM newest, range(1, 8) t(d)""",
     "saved_models_score": f"""{TEST_ROWS} SELECT (SELECT count(*) FROM test) AS n_rows, target, (SELECT count(*) FROM test) AS n_same FROM targets""",
     "tree_stump": stump(),
+    "parquet_files": f"WITH raw AS ({raw_sql()}) SELECT {RAW_FIELDS} FROM raw",
+    "source_dispatch": f"""WITH raw AS ({raw_sql()}) SELECT source, "City", count(*) AS n_rows, sum(pressure) AS pressure
+      FROM raw, (SELECT unnest(['file', 'messages']) AS source) GROUP BY ALL""",
+    "lake_layers": f"""{base()} SELECT layer, datetime, city FROM obs, (SELECT unnest(['cleaned', 'enriched']) AS layer)""",
+    "gate_outcomes": GATES,
+    "preview_rows": f"{base()} SELECT {OBSERVED} FROM obs ORDER BY datetime, city LIMIT 5",
+    "first_cities": f"{base()} SELECT DISTINCT city FROM obs ORDER BY city LIMIT 5",
+    "feature_counts": f"""{base()}, features AS ({FEATURES}),
+      counts AS (SELECT COUNT(COLUMNS(* EXCLUDE (datetime, city, {', '.join(TARGETS)}, season, pressure_tendency))) FROM features)
+      UNPIVOT counts ON COLUMNS(*) INTO NAME feature VALUE n_values""",
+    "labelled_rows": f"{base()} " + " UNION ALL ".join(f"SELECT '{t}' AS target, count({t}) AS n_rows FROM obs" for t in TARGETS),
+    "stream_triggers": f"{base()} SELECT datetime, city FROM obs",
+    "batch_predictions": f"""{TEST_ROWS}, newest AS (SELECT city FROM numbered WHERE rn > 24 GROUP BY city)
+      SELECT city, coalesce(n, 0) AS n_scored, CAST(7 AS BIGINT) AS n_future FROM newest LEFT JOIN (SELECT city, count(*) AS n FROM test GROUP BY city) USING (city)""",
     "latest_features": f"""{base()}, features AS ({FEATURES}), newest AS (SELECT * FROM features
         QUALIFY row_number() OVER (PARTITION BY city ORDER BY datetime DESC) = 1)
       SELECT * EXCLUDE (wind_points, temperature_points, pressure_points, keyword_points) FROM ({risk('newest')})""",

@@ -25,14 +25,15 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_as_observations(
-    events: DataFrame, stations: int | None = None, keep: Sequence[str] = ("event_id",)
+    events: DataFrame, stations: int | None = None, keep: Sequence[str] = ("event_id",), users: int = 1
 ) -> DataFrame:
     """Raw observations plus the event columns in ``keep``.
 
-    ``stations`` folds the users into that many stations, which makes many
-    copies of each (hour, station); without it every user is a station.
+    Every ``users`` users are a station; several of them make copies of each
+    (hour, station), and the number of stations grows with the table. ``stations`` folds them
+    into a fixed number instead, for tables with a column per station.
     """
-    number = F.col("user_id") if stations is None else F.col("user_id") % stations
+    number = F.floor(F.col("user_id") / users) if stations is None else F.col("user_id") % stations
     kind = F.col("event_type")
     text = F.lit(None).cast("string")
     for name, description in DESCRIPTION_OF_TYPE.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Collection
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -10,10 +11,12 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 log = logging.getLogger(__name__)
 
 
-def stop_all(spark: SparkSession) -> list[str]:
-    """Stop every active query; returns their names (or ids)."""
+def stop_all(spark: SparkSession, names: Collection[str] | None = None) -> list[str]:
+    """Stop every active query, or those of the given names; returns their names (or ids)."""
     stopped = []
     for query in spark.streams.active:
+        if names is not None and query.name not in names:
+            continue
         query.stop()
         stopped.append(query.name or query.id)
     return stopped
