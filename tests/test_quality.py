@@ -95,7 +95,7 @@ def test_iqr_filter(spark):
 
 def test_impute(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (math.nan, None), (3.0, None)], "a double, b double")
-    assert rows(outliers.impute(df, ["a", "b"])) == [(1.0, None), (2.0, None), (2.0, None), (3.0, None)]
+    assert rows(outliers.impute(df, ["a", "b"]), "a") == [(1.0, None), (2.0, None), (2.0, None), (3.0, None)]
     assert rows(outliers.impute(df, ["a", "b"], "zero"))[1] == (0.0, 0.0)
     with pytest.raises(ValueError):
         outliers.impute(df, ["a"], "median")
