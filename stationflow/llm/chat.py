@@ -4,9 +4,10 @@ A dialogue of several parties is rendered once for every participant: the own
 turns as the assistant's, all others as turns of named users, with the
 assistant's words marked for training. Built-in functions only.
 
-A dialogue is rendered in parts of ``PART_TURNS`` turn numbers, so that no task
-holds a dialogue of unbounded length; the texts of all parts in order are the
-dialogue. Usual dialogues have one part.
+A dialogue is rendered in parts of ``PART_TURNS`` turns, so that no task holds a
+dialogue of unbounded length; the texts of all parts in order are the dialogue. The
+turns of longer dialogues are numbered by their place in a sorted, range-partitioned
+table, whatever turn numbers they have. Usual dialogues have one part and need none of that.
 """
 
 from __future__ import annotations
@@ -14,7 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationflow.llm.common import stored
+from stationflow.operators.series import with_positions
+
 PART_TURNS = 256
+#: Long dialogues whose ids are sent to every executor; beyond, they are joined by a shuffle.
+MOST_SENT = 500_000
 UNNAMED = "unknown"
 ASSISTANT = "<|assistant|>\n"
 USER = ("<|user name=", "|>\n")
@@ -26,22 +32,36 @@ def escaped(text: Column) -> Column:
     return F.replace(text, F.lit("<|"), F.lit("<\\|"))
 
 
+def in_parts(said: DataFrame, part_turns: int) -> DataFrame:
+    """``conv_id, turn, name, text`` with ``part``: the turn's place in its dialogue by ``part_turns``, from 0."""
+    sizes = said.groupBy(F.col("conv_id").alias("of")).agg(F.count("*").alias("n"))
+    long = stored(sizes.where(F.col("n") > part_turns).select("of"), "long-dialogues")
+    few = long.count() <= MOST_SENT
+    same = F.col("conv_id").eqNullSafe(F.col("of"))
+
+    def sent(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few else df
+
+    short = said.join(sent(long), same, "left_anti").withColumn("part", F.lit(0).cast("long"))
+    placed = with_positions(said.join(sent(long), same, "left_semi"), "conv_id", ["turn", "name", "text"])
+    starts = placed.groupBy(F.col("conv_id").alias("of")).agg(F.min("_row").alias("start"))
+    part = F.floor((F.col("_row") - F.col("start")) / part_turns).alias("part")
+    return short.union(placed.join(sent(starts), same).select(*said.columns, part))
+
+
 def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """``conv_id, participant, part, n_turns, messages, text, masks`` per participant and part.
 
     ``messages`` is an array of ``role, name, content, train``; ``masks`` holds
     the half-open character ranges of ``text`` to train on, the end marker
     included. Turns stand by number, then name, then text; repeated rows are
-    kept; a null number comes first, in part -1. A null role is the participant
+    kept; a null number comes first. A part has ``part_turns`` turns, the last one fewer. A null role is the participant
     ``unknown``, a null text is empty, a null ``conv_id`` is a dialogue of its
     own. Other columns are ignored; no turns, no rows.
     """
-    said = turns.select(
-        "conv_id",
-        F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)).cast("long").alias("part"),
-        F.struct("turn", F.coalesce("role", F.lit(UNNAMED)).alias("name"), F.coalesce("text", F.lit("")).alias("text")).alias("said"),
-    )
-    who = said.select(F.col("conv_id").alias("of"), F.col("said.name").alias("participant")).distinct()
+    plain = turns.select("conv_id", "turn", F.coalesce("role", F.lit(UNNAMED)).alias("name"), F.coalesce("text", F.lit("")).alias("text"))
+    said = in_parts(plain, part_turns).select("conv_id", "part", F.struct("turn", "name", "text").alias("said"))
+    who = plain.select(F.col("conv_id").alias("of"), F.col("name").alias("participant")).distinct()
     parts = said.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list("said")).alias("said"))
     pairs = parts.join(who, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
 

@@ -102,8 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op8_perspective_rotation": r"""
         WITH t AS (
-          SELECT conv_id, turn, CAST(coalesce(floor(turn / 256), -1) AS BIGINT) AS part, coalesce(role, 'unknown') AS name, coalesce(text, '') AS said
-          FROM conversations),
+          SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name, said) - 1) // 256 AS part
+          FROM (SELECT conv_id, turn, coalesce(role, 'unknown') AS name, coalesce(text, '') AS said FROM conversations)),
         p AS (SELECT DISTINCT conv_id, name AS participant FROM t),
         x AS (
           SELECT t.*, participant, name = participant AS own,
@@ -112,10 +112,10 @@ SQL: dict[str, str] = {
           FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
         y AS (
           SELECT *, sum(length(head) + length(body)) OVER (
-            PARTITION BY conv_id, participant, part ORDER BY turn, name, said ROWS UNBOUNDED PRECEDING) AS e
+            PARTITION BY conv_id, participant, part ORDER BY turn NULLS FIRST, name, said ROWS UNBOUNDED PRECEDING) AS e
           FROM x)
-        SELECT conv_id, participant, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY turn, name, said) AS text,
-          coalesce(string_agg(CASE WHEN own THEN CAST(e - length(body) AS VARCHAR) || ':' || CAST(e AS VARCHAR) END, ' ' ORDER BY turn, name, said), '') AS masks
+        SELECT conv_id, participant, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY turn NULLS FIRST, name, said) AS text,
+          coalesce(string_agg(CASE WHEN own THEN CAST(e - length(body) AS VARCHAR) || ':' || CAST(e AS VARCHAR) END, ' ' ORDER BY turn NULLS FIRST, name, said), '') AS masks
         FROM y GROUP BY conv_id, participant, part
     """,
     "op6_voronoi_topk": """

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from stationflow.llm import chat
 
 TURNS = "conv_id int, turn int, role string, text string, masks string, part int"
@@ -12,14 +15,14 @@ def test_every_perspective(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
     found = {(r["conv_id"], r["participant"], r["part"]): r for r in out.collect()}
-    assert set(found) == {(1, p, n) for p in ("ann", "bob", "unknown") for n in (-1, 0)} | {(None, "cy", 1)}
+    assert set(found) == {(1, p, 0) for p in ("ann", "bob", "unknown")} | {(None, "cy", 0)}
     ann = found[1, "ann", 0]
-    assert ann["text"] == "<|assistant|>\nhi <\\|end|><|end|>\n" * 2 + "<|user name=bob|>\n<|end|>\n<|user name=unknown|>\né<|end|>\n"
-    assert [ann["text"][m["begin"] : m["end"]] for m in ann["masks"]] == ["hi <\\|end|><|end|>\n"] * 2
+    assert ann["text"] == "<|assistant|>\nfirst<|end|>\n" + "<|assistant|>\nhi <\\|end|><|end|>\n" * 2 + "<|user name=bob|>\n<|end|>\n<|user name=unknown|>\né<|end|>\n"
+    assert [ann["text"][m["begin"] : m["end"]] for m in ann["masks"]] == ["first<|end|>\n"] + ["hi <\\|end|><|end|>\n"] * 2
     assert [(m["role"], m["name"], m["train"]) for m in found[1, "bob", 0]["messages"]] == [
-        ("user", "ann", False), ("user", "ann", False), ("assistant", "bob", True), ("user", "unknown", False),
+        ("user", "ann", False), ("user", "ann", False), ("user", "ann", False), ("assistant", "bob", True), ("user", "unknown", False),
     ]
-    assert found[1, "bob", -1]["masks"] == [] and found[1, "ann", -1]["n_turns"] == 1
+    assert len(found[1, "bob", 0]["masks"]) == 1 and found[1, "ann", 0]["n_turns"] == 5
 
 
 def test_a_long_dialogue_comes_in_parts(spark):
@@ -28,3 +31,20 @@ def test_a_long_dialogue_comes_in_parts(spark):
     assert [r["part"] for r in out] == list(range(12)) and max(r["n_turns"] for r in out) == 256
     whole = "".join(r["text"] for r in out)
     assert whole.count("<|assistant|>") == 1000 and all(f"t{i}<|end|>" in whole for i in range(3000))
+
+
+@pytest.mark.parametrize("sent", [chat.MOST_SENT, 0])
+@pytest.mark.parametrize("conv", ["NULL", "7", "IF(id % 3 = 0, NULL, id % 5)"])
+@pytest.mark.parametrize("turn", ["1", "NULL", "IF(id % 2 = 0, 1, id)"])
+def test_parts_are_bounded_whatever_the_numbers(spark, monkeypatch, sent, conv, turn):
+    monkeypatch.setattr(chat, "MOST_SENT", sent)
+    turns = spark.range(900).selectExpr(f"CAST({conv} AS int) AS conv_id", f"CAST({turn} AS int) AS turn", "concat('p', id % 2) AS role", "concat('t', id) AS text")
+    out = chat.rotate(turns, part_turns=64).where("participant = 'p1'").collect()
+    sizes = {r["conv_id"]: [] for r in out}
+    for r in sorted(out, key=lambda r: r["part"]):
+        sizes[r["conv_id"]].append(r["n_turns"])
+    counts = {r["conv_id"]: r["n"] for r in turns.groupBy("conv_id").agg(F.count("*").alias("n")).collect()}
+    assert {c: sum(n) for c, n in sizes.items()} == counts
+    assert all(set(n[:-1]) <= {64} and 0 < n[-1] <= 64 for n in sizes.values())
+    whole = sorted(m["content"] for r in out for m in r["messages"])
+    assert whole == sorted(f"t{i}" for i in range(900))
