@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,6 +76,21 @@ def nearest(points: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndar
     return cell, np.sqrt(np.maximum(gaps[np.arange(len(points)), cell], 0))
 
 
+def needs(close: pd.DataFrame, far: dict[int, float], between: np.ndarray, k: int, slack: float) -> dict[int, np.ndarray]:
+    """By query cell: how far a candidate of each cell must at least be from its pivot to be among the best of any query there.
+
+    ``close`` holds ``cell, vec_id, away``. Any k + 1 different ids bound the distance of a query's k-th
+    best, as one of them may be its own; rows that repeat an id count once.
+    """
+    out = {}
+    for i, reach in far.items():
+        within = pd.Series(reach + between[i, close.cell.to_numpy(int)] + close.away.to_numpy(float))
+        within = np.sort(within.groupby(close.vec_id.to_numpy()).min().to_numpy())
+        bound = within[k] if len(within) > k else np.inf
+        out[i] = between[i] - reach - bound - slack
+    return out
+
+
 def top_k(
     vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = 64, block: int = 2048, slice_rows: int = 16384, scale: int = SCALE
 ) -> DataFrame:
@@ -113,21 +129,15 @@ def top_k(
         "cells",
     )
 
-    # Summaries: per cell the k + 1 candidates closest to its pivot, and the farthest query.
+    # Summaries: per cell the k + 1 ids closest to its pivot, and the farthest query.
     by_gap = Window.partitionBy("cell").orderBy("away")
-    close = placed.select("cell", "away", F.row_number().over(by_gap).alias("place")).where(F.col("place") <= k + 1).toPandas()
+    nearest_of_id = placed.where("vec_id IS NOT NULL").groupBy("cell", "vec_id").agg(F.min("away").alias("away"))
+    close = nearest_of_id.withColumn("place", F.row_number().over(by_gap)).where(F.col("place") <= k + 1).toPandas()
     reach = placed.where("query").groupBy("q_cell").agg(F.max("q_away").alias("far"), F.count("*").alias("n")).toPandas()
     between = np.sqrt(np.maximum(((centres[:, None] - centres[None]) ** 2).sum(2), 0))
     slack = 1e-6 * (1 + np.sqrt(norm2))
     far, count = dict(zip(reach.q_cell, reach.far)), dict(zip(reach.q_cell, reach.n))
-    # A candidate of cell j closer to its pivot than need[i][j] cannot be among the best of query cell i.
-    need = {}
-    for i in far:
-        within = np.sort(far[i] + between[i, close.cell.to_numpy()] + close.away.to_numpy())
-        # One of the k + 1 may be the query itself, or rows of its id: then nothing is ruled out.
-        bound = within[k] if len(within) > k else np.inf
-        need[i] = between[i] - far[i] - bound - slack
-    repeated = n != rows.agg(F.count_distinct("vec_id")).first()[0]
+    need = needs(close, far, between, k, slack)
     # Query cells that lie close form groups of about `block` queries, larger ones are cut.
     left, groups = set(far), []
     while left:
@@ -140,7 +150,7 @@ def top_k(
         left -= set(group)
         groups.append((group, -(-size // block)))
     wanted = spark.createDataFrame(
-        [(g, b, j, -np.inf if repeated else float(min(need[i][j] for i in group))) for g, (group, blocks) in enumerate(groups) for b in range(blocks) for j in range(len(centres))],
+        [(g, b, j, float(min(need[i][j] for i in group))) for g, (group, blocks) in enumerate(groups) for b in range(blocks) for j in range(len(centres))],
         "grp int, block int, cell bigint, need double",
     )
     owner = spark.createDataFrame([(g, int(i), blocks) for g, (group, blocks) in enumerate(groups) for i in group], "grp int, q_cell bigint, blocks int")

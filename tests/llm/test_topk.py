@@ -41,3 +41,35 @@ def test_huge_components_stay_exact():
 
     big = np.array([[1 << 30, 3]], np.int64)
     assert topk.scores(big, big)[0, 0] == (1 << 60) + 9
+
+
+def test_repeated_and_missing_ids_leave_the_bounds_in_place(spark, monkeypatch):
+    """One id on many rows, and rows without id: same results as by brute force, and a finite bound for every cell."""
+    draw = random.Random(11)
+    centres = [[draw.gauss(0, 8) for _ in range(6)] for _ in range(12)]
+    rows = [(i if i % 20 < 12 else 7 if i % 2 else None, [float(c + draw.gauss(0, 0.1)) for c in centres[i % 12]]) for i in range(720)]
+    seen = []
+    bounds = topk.needs
+
+    def kept(close, far, between, k, slack):
+        seen.append(bounds(close, far, between, k, slack))
+        return seen[-1]
+
+    monkeypatch.setattr(topk, "needs", kept)
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got: dict = {}
+    for r in topk.top_k(table, F.col("vec_id") % 20 == 0, k=7, pivots=16).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    assert got == brute(rows, 7, 20)
+    assert seen and all(math.isfinite(n) for by_cell in seen[0].values() for n in by_cell)
+
+
+def test_bounds_count_every_id_once():
+    import numpy as np
+    import pandas as pd
+
+    close = pd.DataFrame({"cell": [0, 0, 1, 1], "vec_id": [1, 2, 1, 3], "away": [1.0, 2.0, 0.5, 4.0]})
+    between = np.array([[0.0, 10.0], [10.0, 0.0]])
+    # From cell 0: id 1 within 1 + 1, id 2 within 1 + 2, id 3 within 1 + 10 + 4.
+    assert topk.needs(close, {0: 1.0}, between, 2, 0.0)[0].tolist() == [0 - 1 - 15, 10 - 1 - 15]
+    assert topk.needs(close, {0: 1.0}, between, 3, 0.0)[0].tolist() == [-math.inf, -math.inf]
