@@ -4,7 +4,7 @@ import pytest
 from corpora import odd_docs, odd_rows
 from pyspark.sql import functions as F
 
-from stationflow.llm import chat, decontaminate, line_dedup, packing, paragraphs, quality, simhash_dedup, suffix_dedup, topk, toxicity
+from stationflow.llm import chat, decontaminate, line_dedup, packing, paragraphs, phrases, quality, simhash_dedup, suffix_dedup, topk, toxicity
 
 N = len(odd_rows())
 LABELS = "doc_id bigint, quality int, toxic int, text string"
@@ -49,6 +49,21 @@ def test_odd_rows(spark, name):
     assert ANY[name](spark, odd_docs(spark)).count() > 0
 
 
+SAME = {**BY_ROW, **{n: ANY[n] for n in ("packing", "decontamination")}, "phrases": lambda s, d: phrases.collocations(d, 2)}
+
+
+@pytest.mark.parametrize("name", SAME)
+def test_clashing_columns_change_no_value(spark, name):
+    docs = odd_docs(spark)
+    if "lang" not in docs.columns:
+        docs = docs.withColumn("lang", F.lit(None).cast("string"))
+    plain = docs.select("doc_id", "text", "lang")
+    taken = [c for c in SAME[name](spark, plain).columns if c not in plain.columns]
+    clashing = docs.withColumns({c: F.lit("clash") for c in taken})
+    got, want = ([str(r) for r in SAME[name](spark, d).collect()] for d in (clashing, plain))
+    assert len(taken) > 0 and sorted(got) == sorted(want)
+
+
 @pytest.mark.parametrize("name", [*BY_ROW, *ANY])
 def test_no_rows(spark, name):
     assert (BY_ROW | ANY)[name](spark, odd_docs(spark).limit(0)).isEmpty()
