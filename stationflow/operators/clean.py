@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import CATEGORY, MEASURES, RANGE_RULES, RangeRule
 from ..functions.text import title_words, to_number, to_timestamp
@@ -135,5 +136,18 @@ def with_label(df: DataFrame, target: str) -> DataFrame:
 
 
 def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows without null or NaN, e.g. past the warm-up rows of the features."""
-    return df.dropna(subset=list(columns) if columns else None)
+    """Rows without null or NaN, e.g. past the warm-up rows of the features.
+
+    The columns are tested in a loop over arrays: as one condition a column, the code that
+    Spark makes of a wide table is too long for the JVM to compile and is interpreted.
+    """
+    kinds, tests = {f.name: f.dataType for f in df.schema}, []
+    names = list(columns) if columns else df.columns
+    for kind in (T.DoubleType, T.FloatType):
+        numbers = [F.col(f"`{c}`") for c in names if isinstance(kinds[c], kind)]
+        if numbers:
+            tests.append(F.forall(F.array(*numbers), lambda v: v.isNotNull() & ~F.isnan(v)))
+    others = [F.col(f"`{c}`").isNotNull() for c in names if not isinstance(kinds[c], (T.DoubleType, T.FloatType))]
+    if others:
+        tests.append(F.forall(F.array(*others), lambda there: there))
+    return df.filter(reduce(lambda a, b: a & b, tests)) if tests else df

@@ -105,3 +105,24 @@ def test_filters_reach_the_scan(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", 4000)
     plan = valid_observations(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(temperature,-50.0)" in plan and "LessThanOrEqual(humidity,100.0)" in plan
+
+
+def test_complete_rows_follow_null_and_nan(spark):
+    nan, schema = float("nan"), "a double, b float, c long, d string, `e.f` array<double>"
+    data = [
+        (1.0, 1.0, 1, "x", [nan]), (None, 1.0, 1, "x", []), (nan, 1.0, 1, "x", []), (1.0, None, 1, "x", []),
+        (1.0, nan, 1, "x", []), (1.0, 1.0, None, "x", []), (1.0, 1.0, 1, None, []), (1.0, 1.0, 1, "NaN", None), (2.0, 2.0, 2, "", [None]),
+    ]
+    df = spark.createDataFrame(data, schema)
+    assert [r.a for r in complete_rows(df).collect()] == [1.0, 2.0]
+    assert complete_rows(df, ["c", "d"]).count() == 7
+    assert complete_rows(df, ["b"]).count() == 7
+
+
+def test_complete_rows_of_a_wide_table_are_compiled(spark, tmp_path):
+    spark.range(10).select(*[(F.col("id") / (i + 1)).alias(f"c{i}") for i in range(80)]).write.parquet(str(tmp_path / "wide"))
+    df = complete_rows(spark.read.parquet(str(tmp_path / "wide")))
+    stages = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    # The JVM interprets methods of more than 8000 bytes.
+    assert stages.length() > 0
+    assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.length())) <= 8000
