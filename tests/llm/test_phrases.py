@@ -112,3 +112,27 @@ def test_joins_need_no_shuffle(spark, monkeypatch):
     assert len(plans) == 2
     for plan in plans:
         assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_whole_segments_are_dealt_out_and_one_side_is_sorted(spark, monkeypatch):
+    order = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before, plans, dealt = spark.conf.get(order), [], []
+    pairs, made = phrases.Occurrences.pairs, phrases.Occurrences.__init__
+
+    def seen(self):
+        found = pairs(self)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    def written(self, rows, *args, **kwargs):
+        dealt.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        made(self, rows, *args, **kwargs)
+
+    monkeypatch.setattr(phrases.Occurrences, "pairs", seen)
+    monkeypatch.setattr(phrases.Occurrences, "__init__", written)
+    rows = [("en", "ab cd ef. " * 3000)] * 3
+    assert sorted(map(tuple, phrases.collocations(frame(spark, rows)).collect())) == sorted(expected(rows, 10, 3))
+    assert [plan.count("Sort [") for plan in plans] == [1, 1]
+    # The words come from the segments after the shuffle, not before it.
+    assert dealt[0].index("Generate posexplode") < dealt[0].index("RepartitionByExpression [segment")
+    assert spark.conf.get(order) == before
