@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from stationflow.llm import phrases
+from stationflow.llm import common, phrases
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 SCHEMA = "lang string, text string, rank int, phrase string, segment string, f string"
@@ -136,3 +136,28 @@ def test_whole_segments_are_dealt_out_and_one_side_is_sorted(spark, monkeypatch)
     # The words come from the segments after the shuffle, not before it.
     assert dealt[0].index("Generate posexplode") < dealt[0].index("RepartitionByExpression [segment")
     assert spark.conf.get(order) == before
+
+
+def test_segments_travel_as_text(spark):
+    """An array of words takes 16 bytes and more a word in a shuffle."""
+    cut = phrases.segments(frame(spark, CASES), 3).selectExpr("lang", "monotonically_increasing_id() AS segment", "words")
+    dealt = phrases.dealt_out(cut, 3)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, cut.collect()))
+    plan = dealt._jdf.queryExecution().optimizedPlan()
+    while "Repartition" not in plan.nodeName():
+        plan = plan.children().head()
+    assert "string" in plan.schema().simpleString() and "array" not in plan.schema().simpleString()
+
+
+def test_shuffles_are_removed_as_a_table_is_written(spark, monkeypatch):
+    """Not when the driver's garbage is collected, which may be after the query."""
+    key, set_to = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before, stage = spark.conf.get(key), common.stage
+
+    def seen(df, *parts):
+        set_to.append(df.sparkSession.conf.get(key))
+        return stage(df, *parts)
+
+    monkeypatch.setattr(common, "stage", seen)
+    assert common.stored(spark.range(9).groupBy("id").count(), "few").count() == 9
+    assert set_to == ["true"] and spark.conf.get(key) == before
